@@ -1,0 +1,55 @@
+"""Model fits that Spark ML offers per dataset, run for every slice."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime
+
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from topictide.session import work_path
+
+# Fits running at a time; each of them is a distributed Spark job of its own.
+CONCURRENT_FITS = 4
+
+
+def for_each_slice(
+    df: DataFrame,
+    fit: Callable[[datetime, DataFrame], dict[str, DataFrame]],
+    outputs: dict[str, str],
+    workers: int = CONCURRENT_FITS,
+) -> dict[str, DataFrame]:
+    """Run ``fit`` on the rows of every slice and return its named outputs for all slices.
+
+    ``df`` is written once, partitioned by slice, so a fit reads its own slice only. Results
+    go to the shared folder slice by slice: the returned tables are plain file scans, whatever
+    the number of slices. The loop is bounded by the calendar and nothing but the slice
+    values comes to the driver. ``outputs`` names the results and their schemas (without slice).
+    """
+    spark = df.sparkSession
+    source = work_path(spark, "slices")
+    df.write.partitionBy("slice").parquet(source)
+    schema = df.schema
+    rows = spark.read.schema(schema).parquet(source)
+    starts = [r["slice"] for r in rows.select("slice").distinct().orderBy("slice").collect()]
+    target = work_path(spark, "fits")
+
+    def run(start: datetime) -> None:
+        part = rows.where(F.col("slice") == F.lit(start)).drop("slice")
+        for name, result in fit(start, part).items():
+            stamp = start.strftime("%Y-%m-%d %H:%M:%S").replace(":", "%3A")
+            result.write.mode("overwrite").parquet(f"{target}/{name}/slice={stamp}")
+
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        list(pool.map(inheritable_thread_target(spark)(run), starts))
+
+    def read(name: str) -> DataFrame:
+        schema = f"{outputs[name]}, slice timestamp"
+        if not starts:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(f"{target}/{name}")
+
+    return {name: read(name) for name in outputs}
