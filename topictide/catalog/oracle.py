@@ -239,7 +239,7 @@ ORACLE: dict[str, str] = {
         (SELECT doc_id, text FROM unstopped) u USING (doc_id) GROUP BY slice_label""", "weekly", "unstopped",
     ),
     "p25_l2_normalise": """SELECT vec_id, CAST(pos AS INTEGER) AS pos, round(x / sqrt(sum(x * x) OVER (PARTITION BY vec_id)), 6) AS value FROM (
-        SELECT vec_id, generate_subscripts(embedding, 1) - 1 AS pos, CAST(unnest(embedding) * 3 AS DOUBLE) AS x FROM embeddings)""",
+        SELECT vec_id, generate_subscripts(embedding, 1) - 1 AS pos, CAST(unnest(embedding) AS DOUBLE) * 3e0 AS x FROM embeddings)""",
     "j1_corpus_metadata": sql("SELECT doc_id, text, title, published FROM clean", "clean"),
     "j4_stopword_join": sql(
         """SELECT w AS word, count(*) AS n FROM word WHERE w <> '' AND w NOT IN (SELECT lower(n_name) FROM nation)
@@ -325,9 +325,11 @@ ORACLE: dict[str, str] = {
         GROUP BY doc_id) USING (doc_id)""", "centers",
     ),
     "m8_reduce_topics": sql(
-        """, moved AS (SELECT a.slice_label, a.topic, b.topic AS new_topic FROM centers a JOIN centers b USING (slice_label, term)
-            WHERE a.topic >= 3 AND b.topic BETWEEN 0 AND 2 GROUP BY ALL
-            QUALIFY row_number() OVER (PARTITION BY a.slice_label, a.topic ORDER BY round(sum(a.c * b.c), 6) DESC, b.topic) = 1),
+        """, sims AS (SELECT a.slice_label, a.topic, b.topic AS new_topic, sum(a.c * b.c) AS sim FROM centers a
+            JOIN centers b ON a.slice_label = b.slice_label AND a.term = b.term
+            WHERE a.topic >= 3 AND b.topic BETWEEN 0 AND 2 GROUP BY a.slice_label, a.topic, b.topic),
+        moved AS (SELECT slice_label, topic, new_topic FROM sims
+            QUALIFY row_number() OVER (PARTITION BY slice_label, topic ORDER BY round(sim, 6) DESC, new_topic) = 1),
         merged AS (SELECT doc_id, slice_label, CASE WHEN topic < 3 THEN topic ELSE coalesce(new_topic, 0) END AS t
             FROM labels LEFT JOIN moved USING (slice_label, topic)),
         numbered AS (SELECT slice_label, t, row_number() OVER (PARTITION BY slice_label ORDER BY count(*) DESC, min(doc_id)) - 1 AS n
@@ -383,7 +385,7 @@ ORACLE: dict[str, str] = {
         "density", "tf",
     ),
     "s1_read_raw": sql(
-        """SELECT CAST(doc_id AS VARCHAR) AS id, title, summary, strftime(published, '%Y-%m-%d %H:%M:%S') AS published, authors, link FROM docs""",
+        """SELECT CAST(doc_id AS VARCHAR) AS id, title, nullif(summary, '') AS summary, strftime(published, '%Y-%m-%d %H:%M:%S') AS published, authors, link FROM docs""",
         "docs",
     ),
     "s2_read_staged": """SELECT o_orderkey AS id, o_orderdate AS published, CAST(year(o_orderdate) AS INTEGER) AS year,

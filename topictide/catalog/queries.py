@@ -302,7 +302,7 @@ def p24_empty_documents(spark, sf_dir):
 
 @query
 def p25_l2_normalise(spark, sf_dir):
-    tripled = F.transform("embedding", lambda x: x * 3)
+    tripled = F.transform("embedding", lambda x: x.cast("double") * 3.0)
     unit = F.posexplode(V.l2_normalise(tripled)).alias("pos", "value")
     return I.table(spark, sf_dir, "embeddings").select("vec_id", unit).select("vec_id", "pos", r6("value").alias("value"))
 

@@ -30,14 +30,15 @@ class LdaSettings:
 
 
 def _estimator(s: LdaSettings) -> LDA:
-    # every iteration sees all documents and replaces the previous estimate
+    # Every iteration sees all documents and replaces the previous estimate: the weight of a
+    # step is (offset + t) ** -decay, and Spark wants a decay above zero.
     return LDA(
         k=s.n_topics,
         seed=s.seed,
         maxIter=s.max_iter,
         optimizer="online",
         subsamplingRate=1.0,
-        learningDecay=0.0,
+        learningDecay=1e-9,
         optimizeDocConcentration=False,
         docConcentration=[1.0 / s.n_topics] * s.n_topics,
         topicConcentration=1.0 / s.n_topics,

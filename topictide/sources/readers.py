@@ -17,7 +17,7 @@ MAX_LITERAL_STOPWORDS = 50_000
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """Raw interval files (a folder, or a pattern such as ``raw/raw_*.csv``)."""
+    """Raw interval files (a folder, or a pattern such as ``raw/raw_*.csv``); an empty field is null."""
     reader = spark.read.schema(RAW_SCHEMA).options(**CSV_OPTIONS)
     return reader.option("multiLine", "true").option("recursiveFileLookup", "true").csv(path)
 
