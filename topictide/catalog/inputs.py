@@ -59,7 +59,7 @@ def fixture_topic(doc_id: str = "doc_id") -> Column:
 
 def topic_bag(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = sliced(spark, sf_dir).withColumn("topic", fixture_topic())
-    return keywords.by_document(keywords.bags(docs))
+    return keywords.bags(docs)
 
 
 def with_label(df: DataFrame, freq: str = "monthly") -> DataFrame:

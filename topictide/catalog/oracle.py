@@ -366,6 +366,13 @@ ORACLE: dict[str, str] = {
         """SELECT doc_id, topic, round(CAST(embedding[1] AS DOUBLE), 6) AS x, round(CAST(embedding[2] AS DOUBLE), 6) AS y
         FROM labels LEFT JOIN embeddings ON vec_id = doc_id""", "labels",
     ),
+    "j8_counted_slices": sql(
+        "SELECT slice_label, topic, count(*) AS doc_count FROM labels WHERE slice_label <= '2024-04' GROUP BY ALL", "labels"
+    ),
+    "p23_complete_positions": sql(
+        """SELECT slice_label, topic, count(*) AS n, round(avg(CAST(embedding[1] AS DOUBLE)), 6) AS x,
+        round(avg(CAST(embedding[2] AS DOUBLE)), 6) AS y FROM labels JOIN embeddings ON vec_id = doc_id GROUP BY ALL""", "labels",
+    ),
     "m14_topic_positions": sql(
         """SELECT slice_label, topic, term AS keyword, round(score, 6) AS score, round(x, 6) AS x, round(y, 6) AS y FROM terms JOIN (
         SELECT slice_label, topic, avg(CAST(embedding[1] AS DOUBLE)) AS x, avg(CAST(embedding[2] AS DOUBLE)) AS y

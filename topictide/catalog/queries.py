@@ -585,6 +585,14 @@ def a13_stable(spark, sf_dir):
     return trend.stable_topics(trend.counted_slices(labels, labels), labels)
 
 
+@query
+def j8_counted_slices(spark, sf_dir):
+    """Only January to April have a topic result; the other slices are left out."""
+    labels = _fixture_topics(spark, sf_dir)
+    known = labels.where(F.month("slice") <= 4)
+    return with_label(trend.counted_slices(labels, known))
+
+
 @query
 def a14_flagged_ids(spark, sf_dir):
     return trend.flagged_topics(_trend_terms(spark, sf_dir), "on th|language model|ou de").select("topic").distinct()
@@ -623,6 +631,12 @@ def j9_attach_layout(spark, sf_dir):
     return _layout(spark, sf_dir).select("doc_id", "topic", r6("x").alias("x"), r6("y").alias("y"))
 
 
+@query
+def p23_complete_positions(spark, sf_dir):
+    rows = _layout(spark, sf_dir).where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    return with_label(rows.groupBy("slice", "topic").agg(F.count("*").alias("n"), r6(F.avg("x")).alias("x"), r6(F.avg("y")).alias("y")))
+
+
 @query
 def m14_topic_positions(spark, sf_dir):
     rows = trend.topic_positions(_fixture_terms(spark, sf_dir), _layout(spark, sf_dir))

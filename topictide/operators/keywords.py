@@ -34,7 +34,12 @@ def by_document(bag: DataFrame) -> DataFrame:
 
     All branches then share this one exchange: cleaning and tokenising run once, what is
     shuffled is the compact bag, and per-document windows behind it need no other shuffle.
+    The keys are tested for null here because Spark would otherwise add the test to some branches
+    only (those joined on that key), which makes their exchanges different ones.
     """
+    for key in ("slice", "doc_id", "topic"):
+        if key in bag.columns:
+            bag = bag.where(F.col(key).isNotNull())
     return bag.repartition("doc_id")
 
 
@@ -54,7 +59,7 @@ def exploded(bag: DataFrame, *keep: str | Column) -> DataFrame:
     The outer form matters: a plain explode makes Spark filter on the size of the array
     below the projection that builds it, which would clean and tokenise every text twice.
     """
-    rows = bag.select(*keep, F.explode_outer("terms").alias("_t")).where(F.col("_t").isNotNull())
+    rows = bag.select(*keep, F.explode_outer("terms").alias("_t")).where(F.col("_t.term").isNotNull())
     return rows.select(*rows.columns[:-1], "_t.term", "_t.tf")
 
 

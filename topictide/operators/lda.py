@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from topictide.functions import text as T
 from topictide.operators import keywords as K
 from topictide.operators.perslice import for_each_slice
+from topictide.session import materialise
 
 TOP_WORDS = 10
 
@@ -110,7 +111,9 @@ def lda_corpus(
     docs: DataFrame, settings: LdaSettings = LdaSettings(), stopwords: Iterable[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """One fit over all slices: topics (topic, rank, term, score), mixtures (slice, doc_id, mixture)."""
-    fitted = _fit(_tokenised(docs, stopwords), ["slice", "doc_id"], settings)
+    # read by the vocabulary, the fit and the mixtures
+    rows = materialise(_tokenised(docs, stopwords), "tokens")
+    fitted = _fit(rows, ["slice", "doc_id"], settings)
     if fitted is None:
         raise ValueError("the corpus holds no token")
     return fitted

@@ -47,7 +47,7 @@ def number_topics(clusters: DataFrame, min_cluster_size: int = 1) -> DataFrame:
 def attach_topics(bag: DataFrame, doc_topics: DataFrame) -> DataFrame:
     """Bags with their topic column."""
     topics = doc_topics.select("slice", "doc_id", "topic")
-    return by_document(bag.drop("topic")).join(topics, ["slice", "doc_id"])
+    return bag.drop("topic").join(topics, ["slice", "doc_id"])
 
 
 def class_frequencies(bag: DataFrame) -> DataFrame:
@@ -61,9 +61,9 @@ def class_tfidf(bag: DataFrame) -> DataFrame:
     """(slice, topic, term, tf, score): class-based TF-IDF within each slice.
 
     tf / words of the topic * ln(1 + mean words per topic / count of the term in the slice).
-    All three branches read the one exchange behind ``class_frequencies``.
+    All branches read the one exchange behind ``class_frequencies``.
     """
-    tc = class_frequencies(bag)
+    tc = class_frequencies(by_document(bag))
     words = tc.groupBy("slice", "topic").agg(F.sum("tf").alias("_words"))
     mean = words.groupBy("slice").agg(F.avg("_words").alias("_mean"))
     total = tc.groupBy("slice", "term").agg(F.sum("tf").alias("_total"))
