@@ -135,8 +135,10 @@ def test_run_with_encoder(spark):
     config = RunConfig(n_topics=2, umap_reduce=False)
     out = runs.cluster_timesliced(docs.drop("slice"), config, letter_encoder())
     assert out["doc_topics"].count() == 40 and out["topic_terms"].where("topic > 1").count() == 0
-    with pytest.raises(ValueError):
-        runs.cluster_timesliced(docs.drop("slice"), RunConfig(), letter_encoder())
+    auto = RunConfig(umap_reduce=False, reduced_dimensions=2, reduced_eps=0.01, min_samples=2, min_cluster_size=3)
+    found = runs.cluster_timesliced(docs.drop("slice"), auto, letter_encoder())
+    # four different texts in January, two in February, each of them several times
+    assert found["doc_topics"].count() == 40 and found["topic_info"].where("topic >= 0").count() == 6
 
 
 def test_incremental_staging(spark, tmp_path):

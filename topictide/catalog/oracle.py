@@ -96,6 +96,15 @@ STEPS: dict[str, str] = {
         LEFT JOIN (SELECT root, topic FROM dense) USING (root)""".replace(
         "FROM labels l0", "FROM (SELECT doc_id, slice_label FROM labels) l0"
     ),
+    "xy": """SELECT label % 6 AS m, vec_id AS doc_id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings""",
+    "xy_near": """SELECT p.m, p.doc_id AS a, q.doc_id AS b FROM xy p JOIN xy q ON p.m = q.m
+        AND (p.x - q.x) * (p.x - q.x) + (p.y - q.y) * (p.y - q.y) <= 0.04e0 * 0.04e0""",
+    "xy_core": "SELECT a FROM xy_near GROUP BY a HAVING count(*) >= 4",
+    "xy_reach": """SELECT a, a AS b FROM xy_core UNION SELECT r.a, n.b FROM xy_reach r JOIN xy_near n ON n.a = r.b
+        WHERE n.b IN (SELECT a FROM xy_core)""",
+    "xy_component": "SELECT a AS doc_id, min(b) AS root FROM xy_reach GROUP BY a",
+    "xy_topic": """SELECT m, root, row_number() OVER (PARTITION BY m ORDER BY count(*) DESC, min(doc_id)) - 1 AS topic
+        FROM xy_component JOIN xy USING (doc_id) GROUP BY m, root HAVING count(*) >= 5""",
     "sparse_labels": f"""SELECT doc_id, strftime({_WEEK.format('published')}, '%Y-%m-%d') AS slice_label,
         CAST(doc_id % 7 + 7 * (dayofyear(published) % 5) - 1 AS INTEGER) AS topic FROM docs""",
     "week_events": f"""SELECT event_id AS doc_id, ts AS published, {_WEEK.format('ts')} AS slice FROM events""",
@@ -112,6 +121,7 @@ _NEEDS = {
     "weights": ["vocab200", "totals"], "full_weights": ["stats", "totals"], "sums": ["weights", "labels"],
     "centers": ["sums"], "reps": ["centers"], "near": ["full_weights"], "core": ["near"], "link": ["core"],
     "reach": ["link"], "component": ["reach"], "dense": ["component", "labels"], "density": ["dense"],
+    "xy_near": ["xy"], "xy_core": ["xy_near"], "xy_reach": ["xy_core"], "xy_component": ["xy_reach"], "xy_topic": ["xy_component"],
     "sparse_labels": ["docs"], "weeks2024": ["docs"],
 }
 
@@ -131,10 +141,10 @@ def sql(body: str, *steps: str) -> str:
         return body
     shared = {"tf", "stats", "full_weights", "near", "core", "link", "weights", "ctfidf", "tc", "terms"}
     parts = [
-        f"{name}{'(a, b)' if name == 'reach' else ''} AS {'MATERIALIZED ' if name in shared else ''}({STEPS[name]})"
+        f"{name}{'(a, b)' if name.endswith('reach') else ''} AS {'MATERIALIZED ' if name in shared else ''}({STEPS[name]})"
         for name in STEPS if name in needed
     ]
-    recursive = "RECURSIVE " if "reach" in needed else ""
+    recursive = "RECURSIVE " if needed & {"reach", "xy_reach"} else ""
     return f"WITH {recursive}{', '.join(parts)} {body}"
 
 
@@ -333,11 +343,15 @@ ORACLE: dict[str, str] = {
         merged AS (SELECT doc_id, slice_label, CASE WHEN topic < 3 THEN topic ELSE coalesce(new_topic, 0) END AS t
             FROM labels LEFT JOIN moved USING (slice_label, topic)),
         numbered AS (SELECT slice_label, t, row_number() OVER (PARTITION BY slice_label ORDER BY count(*) DESC, min(doc_id)) - 1 AS n
-            FROM merged WHERE t >= 0 GROUP BY ALL)
+            FROM merged WHERE t >= 0 GROUP BY slice_label, t)
         SELECT doc_id, coalesce(n, -1) AS topic FROM merged LEFT JOIN numbered USING (slice_label, t)""", "centers",
     ),
     "j11_core_documents": sql("SELECT doc_id FROM core", "core"),
     "m7_density_topics": sql("SELECT doc_id, topic FROM density", "density"),
+    "m7_grid_density_topics": sql(
+        """SELECT doc_id, coalesce(topic, -1) AS topic FROM xy LEFT JOIN xy_component USING (doc_id)
+        LEFT JOIN (SELECT root, topic FROM xy_topic) USING (root)""", "xy_topic",
+    ),
     "p19_flagged_topics": sql(_FLAG, "trend_text"),
     "a10_topic_ids": sql("SELECT DISTINCT slice_label, topic FROM labels", "labels"),
     "a11_topic_text": sql("SELECT slice_label, topic, string_agg(term, ' ' ORDER BY rank) AS text FROM terms GROUP BY ALL", "terms"),

@@ -12,7 +12,7 @@ from topictide.catalog.inputs import r6, with_label
 from topictide.functions import text as T
 from topictide.functions import vectors as V
 from topictide.functions.dates import parse_date, slice_label, slice_start, year_month
-from topictide.operators import density, embedding, intervals, kmeans, lda, slicing, staging, topics, trend
+from topictide.operators import density, embedding, grid_density, intervals, kmeans, lda, slicing, staging, topics, trend
 from topictide.operators import keywords as K
 from topictide.plans.config import RunConfig, fingerprint
 from topictide.plans import runs
@@ -24,6 +24,7 @@ QUERIES: dict[str, Query] = {}
 
 SMALL_VOCABULARY = 50
 DENSITY = density.DensitySettings(eps=0.4, min_samples=3, min_cluster_size=5)
+GRID = grid_density.GridSettings(eps=0.04, min_samples=4, min_cluster_size=5)
 LDA_SETTINGS = lda.LdaSettings(n_topics=5, max_features=200)
 RESULT_CONFIG = {"job_name": "topics-monthly", "sampling_freq": "monthly", "n_topics": 7}
 
@@ -710,6 +711,17 @@ def m6_reduce_dimensions(spark, sf_dir):
     return embedding.reduce_dimensions(_vectors(spark, sf_dir), 5)
 
 
+@query
+def m7_grid_density_topics(spark, sf_dir):
+    vectors = I.table(spark, sf_dir, "embeddings").select(
+        F.make_timestamp(F.lit(2024), F.col("label") % 6 + 1, F.lit(1), F.lit(0), F.lit(0), F.lit(0)).alias("slice"),
+        F.col("vec_id").alias("doc_id"),
+        F.slice("embedding", 1, 2).alias("embedding"),
+    )
+    found = grid_density.grid_density_topics(vectors, GRID)
+    return found.select("doc_id", F.col("topic").cast("long").alias("topic"))
+
+
 @query
 def m9_kmeans_topics(spark, sf_dir):
     return kmeans.kmeans_topics(_vectors(spark, sf_dir), 4)
