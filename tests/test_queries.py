@@ -25,4 +25,5 @@ def test_entry(spark):
 def test_query(spark, con, sf_dir, name):
     result, rows = check(spark, con, sf_dir, name, entry.queries()[name], ORACLE.get(name))
     assert result in ("ok", "no sql")
-    assert rows > 0 or name in ("t10_min_docs",)
+    # at the smallest scale no week holds 15 documents, few neighbours exist and nothing is common to most weeks
+    assert rows > 0 or name in ("t10_min_docs", "a13_stable", "j11_core_documents")

@@ -106,7 +106,7 @@ STEPS: dict[str, str] = {
     "xy_topic": """SELECT m, root, row_number() OVER (PARTITION BY m ORDER BY count(*) DESC, min(doc_id)) - 1 AS topic
         FROM xy_component JOIN xy USING (doc_id) GROUP BY m, root HAVING count(*) >= 5""",
     "sparse_labels": f"""SELECT doc_id, strftime({_WEEK.format('published')}, '%Y-%m-%d') AS slice_label,
-        CAST(doc_id % 7 + 7 * (dayofyear(published) % 5) - 1 AS INTEGER) AS topic FROM docs""",
+        CAST(CASE WHEN doc_id % 3 = 0 THEN 10 + dayofyear(published) % 20 ELSE doc_id % 4 - 1 END AS INTEGER) AS topic FROM docs""",
     "week_events": f"""SELECT event_id AS doc_id, ts AS published, {_WEEK.format('ts')} AS slice FROM events""",
     "weeks2024": """SELECT s AS start, s + INTERVAL 7 DAY AS "end" FROM (
         SELECT unnest(generate_series(make_timestamp(a, 1, 1, 0, 0, 0), make_timestamp(b, 12, 31, 0, 0, 0), INTERVAL 7 DAY)) AS s

@@ -569,9 +569,10 @@ def a11_topic_text(spark, sf_dir):
 
 
 def _sourced_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sparse topics: an id is absent from many slices."""
+    """Topics of which some occur in most weeks and some in few."""
     docs = slicing.with_slice(I.documents(spark, sf_dir).select("doc_id", "published"), "weekly")
-    topic = (F.col("doc_id") % 7 + 7 * (F.dayofyear("published") % 5) - 1).cast("int")
+    rare = 10 + F.dayofyear("published") % 20
+    topic = F.when(F.col("doc_id") % 3 == 0, rare).otherwise(F.col("doc_id") % 4 - 1).cast("int")
     return docs.select("slice", "doc_id", topic.alias("topic"))
 
 
