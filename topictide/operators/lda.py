@@ -52,8 +52,8 @@ def _tokenised(docs: DataFrame, stopwords: Iterable[str] | None) -> DataFrame:
     return docs.select("slice", "doc_id", T.tokens(text).alias("tokens"))
 
 
-def _fit(rows: DataFrame, keep: list[str], s: LdaSettings) -> tuple[DataFrame, DataFrame] | None:
-    """Topics and mixtures of (doc_id, tokens) rows; None without any token."""
+def _fit(rows: DataFrame, keep: list[str], s: LdaSettings) -> tuple[DataFrame, DataFrame, DataFrame] | None:
+    """Topics, mixtures and the cached vectors of (doc_id, tokens) rows; None without any token."""
     spark = rows.sparkSession
     bag = rows.select(
         F.timestamp_seconds(F.lit(0)).alias("slice"), "doc_id", T.count_terms(F.col("tokens")).alias("terms")
@@ -77,7 +77,7 @@ def _fit(rows: DataFrame, keep: list[str], s: LdaSettings) -> tuple[DataFrame, D
         )
     )
     mixtures = model.transform(vectors).select(*keep, vector_to_array("topicDistribution").alias("mixture"))
-    return topics, mixtures
+    return topics, mixtures, vectors
 
 
 def lda_timesliced(
@@ -89,9 +89,12 @@ def lda_timesliced(
     ``lda_corpus``, which fits once.
     """
 
-    def fit(_: datetime, rows: DataFrame) -> dict[str, DataFrame]:
+    def fit(_: datetime, rows: DataFrame) -> tuple[dict[str, DataFrame], list[DataFrame]]:
         fitted = _fit(rows, ["doc_id"], settings)
-        return {} if fitted is None else dict(zip(("topics", "mixtures"), fitted))
+        if fitted is None:
+            return {}, []
+        topics, mixtures, vectors = fitted
+        return {"topics": topics, "mixtures": mixtures}, [vectors]
 
     out = for_each_slice(
         _tokenised(docs, stopwords),
@@ -116,7 +119,10 @@ def lda_corpus(
     fitted = _fit(rows, ["slice", "doc_id"], settings)
     if fitted is None:
         raise ValueError("the corpus holds no token")
-    return fitted
+    topics, mixtures, vectors = fitted
+    stored = materialise(mixtures, "mixtures")
+    vectors.unpersist()
+    return topics, stored
 
 
 def mean_mixture(mixtures: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ CONCURRENT_FITS = 4
 
 def for_each_slice(
     df: DataFrame,
-    fit: Callable[[datetime, DataFrame], dict[str, DataFrame]],
+    fit: Callable[[datetime, DataFrame], tuple[dict[str, DataFrame], list[DataFrame]]],
     outputs: dict[str, str],
     workers: int = CONCURRENT_FITS,
 ) -> dict[str, DataFrame]:
@@ -26,7 +26,8 @@ def for_each_slice(
 
     ``df`` is written once, partitioned by slice, so a fit reads its own slice only. Results
     go to the shared folder slice by slice: the returned tables are plain file scans, whatever
-    the number of slices. The loop is bounded by the calendar and nothing but the slice
+    the number of slices. ``fit`` returns its outputs and the tables it cached, which are freed
+    once the outputs are written. The loop is bounded by the calendar and nothing but the slice
     values comes to the driver. ``outputs`` names the results and their schemas (without slice).
     """
     spark = df.sparkSession
@@ -39,9 +40,12 @@ def for_each_slice(
 
     def run(start: datetime) -> None:
         part = rows.where(F.col("slice") == F.lit(start)).drop("slice")
-        for name, result in fit(start, part).items():
+        results, cached = fit(start, part)
+        for name, result in results.items():
             stamp = start.strftime("%Y-%m-%d %H:%M:%S").replace(":", "%3A")
             result.write.mode("overwrite").parquet(f"{target}/{name}/slice={stamp}")
+        for df in cached:
+            df.unpersist()
 
     with ThreadPoolExecutor(max_workers=workers) as pool:
         list(pool.map(inheritable_thread_target(spark)(run), starts))

@@ -57,14 +57,8 @@ def topic_presence(counts: DataFrame) -> DataFrame:
 
 def stable_topics(counts: DataFrame, topic_terms: DataFrame, share: float = STABLE_SHARE) -> DataFrame:
     """(topic, n_slices) present in at least floor(share * topic slices) slices."""
-    threshold = topic_slices(topic_terms).agg(
-        F.floor(F.lit(float(share)) * F.count("*")).alias("_threshold")
-    )
-    return (
-        topic_presence(counts)
-        .join(F.broadcast(threshold), F.col("n_slices") >= F.col("_threshold"))  # one row
-        .select("topic", "n_slices")
-    )
+    n = topic_slices(topic_terms).agg(F.floor(F.lit(float(share)) * F.count("*")).alias("n"))
+    return topic_presence(counts).where(F.col("n_slices") >= n.scalar())
 
 
 def baseline_topics(stable: DataFrame, flagged: DataFrame) -> DataFrame:
