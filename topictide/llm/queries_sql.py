@@ -4,17 +4,17 @@
 OP9 = r"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
-             list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM t),
+             list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM t),
 g AS (SELECT *, CASE WHEN len(w) < 5 THEN [] ELSE
-        list_transform(range(1, len(w) - 3), i -> concat_ws(' ', w[i], w[i+1], w[i+2], w[i+3], w[i+4])) END AS grams FROM w),
+        list_transform(range(1, len(w) - 3), lambda i: concat_ws(' ', w[i], w[i+1], w[i+2], w[i+3], w[i+4])) END AS grams FROM w),
 e AS (SELECT doc_id, text, unnest(grams) AS gram, generate_subscripts(grams, 1) AS pos FROM g),
 twice AS (SELECT doc_id, text, pos FROM e QUALIFY count(*) OVER (PARTITION BY doc_id, text, gram) > 1),
 covered AS (SELECT doc_id, text, least(5, coalesce(lead(pos) OVER (PARTITION BY doc_id, text ORDER BY pos) - pos, 5)) AS n FROM twice),
 rep AS (SELECT doc_id, text, sum(n) AS n FROM covered GROUP BY ALL),
-s AS (SELECT g.doc_id, len(w)::BIGINT AS n_words, list_sum(list_transform(w, x -> length(x)))::BIGINT AS chars,
+s AS (SELECT g.doc_id, len(w)::BIGINT AS n_words, list_sum(list_transform(w, lambda x: length(x)))::BIGINT AS chars,
         len(regexp_extract_all(g.text, '[#*$%&|<>]'))::BIGINT AS n_symbols, len(l) AS n_lines,
         (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words,
-        len(list_filter(w, x -> lower(x) IN ({stop})))::BIGINT AS n_stop
+        len(list_filter(w, lambda x: lower(x) IN ({stop})))::BIGINT AS n_stop
       FROM g LEFT JOIN rep ON rep.doc_id = g.doc_id AND rep.text = g.text),
 b AS (SELECT *, coalesce(chars, 0)::BIGINT AS word_chars, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM s)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
