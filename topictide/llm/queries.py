@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from topictide.llm import chat_format as chat
 from topictide.llm import exact_dedup as exact
 from topictide.llm import language_id as language
+from topictide.llm import mixing, packing
 from topictide.llm import quality_classifier as quality
 from topictide.llm import quality_rules as rules
 from topictide.llm import url_filter as urls
@@ -22,6 +23,16 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "p.lang_pred", "p.score")
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.cut_documents(table(spark, sf_dir, "documents")).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack(pieces)
+
+
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("row.doc_id", *mixing.LEVELS, "n_tokens", "epoch")
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     judged = urls.filter_urls(pages, urls.tracker_urls(pages))
@@ -56,6 +67,8 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_source_mixing": op3_source_mixing,
     "op5_url_filter": op5_url_filter,
     "op6_quality_classifier": op6_quality_classifier,
     "op8_exact_dedup": op8_exact_dedup,
