@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from topictide.llm.common import ascii_lower, hash128, text_of
+from topictide.llm.common import ascii_lower, hash128, keep_rows, text_of
 from topictide.session import materialise
 
 
@@ -56,3 +56,16 @@ def exact_dedup(
         (F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"),
         F.col("sha").alias("text_sha256"),
     )
+
+
+def drop_copies(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    keep: str = "min",
+    normalise: Callable[[Column], Column] = ascii_lower,
+) -> DataFrame:
+    """The rows of ``docs`` that ``exact_dedup`` keeps, with all their columns."""
+    kept = exact_dedup(docs, id_col, text_col, keep, normalise).where("kept")
+    keys = {"_id": F.col(id_col), "_sha": F.sha2(normalise(text_of(text_col)), 256)}
+    return keep_rows(docs, keys, kept.select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha")))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from topictide.llm import chat_format as chat
 from topictide.llm import exact_dedup as exact
+from topictide.llm import jaccard_join as jaccard
 from topictide.llm import language_id as language
 from topictide.llm import mixing, packing
 from topictide.llm import quality_classifier as quality
@@ -46,6 +47,11 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "class_id", "n_links", "class_size", "kept")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(table(spark, sf_dir, "documents"), keep="max")
 
@@ -71,6 +77,7 @@ QUERIES = {
     "op3_source_mixing": op3_source_mixing,
     "op5_url_filter": op5_url_filter,
     "op6_quality_classifier": op6_quality_classifier,
+    "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_chat_formatting": op10_chat_formatting,
