@@ -12,6 +12,7 @@ from topictide.llm import language_id as language
 from topictide.llm import mixing, packing
 from topictide.llm import quality_classifier as quality
 from topictide.llm import quality_rules as rules
+from topictide.llm import suffix_dedup as suffixes
 from topictide.llm import url_filter as urls
 from topictide.llm.common import held_out, table
 
@@ -34,6 +35,17 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("row.doc_id", *mixing.LEVELS, "n_tokens", "epoch")
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     judged = urls.filter_urls(pages, urls.tracker_urls(pages))
@@ -75,6 +87,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_source_mixing": op3_source_mixing,
+    "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_url_filter": op5_url_filter,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,

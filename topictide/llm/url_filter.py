@@ -97,6 +97,22 @@ def bloom_blocks(listed: DataFrame, n_blocks: int, url_col: str = "url") -> Data
     return bits.groupBy("block").agg(*[F.bit_or(f"w{i}").alias(f"w{i}") for i in range(WORDS)])
 
 
+def blocks_for(n: int, bits: int = 16, most: int = 1 << 19) -> int:
+    """Blocks for n keys at ``bits`` each, and never more than ``most`` (20 MB)."""
+    return min(most, max(1, n * bits // (64 * WORDS)))
+
+
+def possible(rows: DataFrame, key: str, blocks: DataFrame, n_blocks: int) -> DataFrame:
+    """``rows`` with ``possible``: false only if the filter rules the key out (null keys always are)."""
+    masks = [m.alias(f"m{i}") for i, m in enumerate(_masks(F.col(key)))]
+    probe = rows.select("*", _block(F.col(key), n_blocks).alias("block"), *masks)
+    hit = F.col(key).isNotNull()
+    for i in range(WORDS):
+        hit = hit & (F.col(f"w{i}").bitwiseAND(F.col(f"m{i}")) == F.col(f"m{i}"))
+    # at most n_blocks rows of five longs
+    return probe.join(F.broadcast(blocks), "block", "left").select(*rows.columns, F.coalesce(hit, F.lit(False)).alias("possible"))
+
+
 def filter_urls(
     pages: DataFrame,
     listed: DataFrame,
@@ -113,7 +129,7 @@ def filter_urls(
     and no canonical form. Repeated pages are judged alike; other columns are not read; empty tables give empty results.
     """
     urls = listed.select(F.col("url").alias("canonical")).where("canonical is not null").distinct()
-    n_blocks = min(max_blocks, max(1, urls.count() * bits_per_url // (64 * WORDS)))
+    n_blocks = blocks_for(urls.count(), bits_per_url, max_blocks)
     blocks = bloom_blocks(urls, n_blocks, "canonical")
 
     url = F.col("url")
@@ -122,15 +138,7 @@ def filter_urls(
     name, verdict = rule_for(F.col("host"), F.col("path"), rules)
     rows = rows.select("*", name.alias("rule"), verdict.alias("ruled"))
 
-    masks = [m.alias(f"m{i}") for i, m in enumerate(_masks(F.col("canonical")))]
-    probe = rows.select("*", _block(F.col("canonical"), n_blocks).alias("block"), *masks)
-    hit = F.lit(True)
-    for i in range(WORDS):
-        hit = hit & (F.col(f"w{i}").bitwiseAND(F.col(f"m{i}")) == F.col(f"m{i}"))
-    # at most max_blocks rows of five longs
-    probed = probe.join(F.broadcast(blocks), "block", "left").select(
-        *rows.columns, F.coalesce(hit & F.col("canonical").isNotNull(), F.lit(False)).alias("possible")
-    )
+    probed = possible(rows, "canonical", blocks, n_blocks)
     hits = probed.where("possible").join(urls.withColumn("listed", F.lit(True)), "canonical", "left")
     rest = probed.where("not possible").withColumn("listed", F.lit(False))
     judged = hits.withColumn("listed", F.coalesce("listed", F.lit(False))).unionByName(rest)
