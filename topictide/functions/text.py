@@ -67,14 +67,19 @@ def expand_contractions(text: Column) -> Column:
     return F.when(text.rlike(_APOSTROPHE), out).otherwise(text)
 
 
-def nfkd(text: Column) -> Column:
-    """Unicode compatibility decomposition (ASCII text is its own decomposition)."""
+def nfkd(text: Column, of: Column | None = None) -> Column:
+    """Unicode compatibility decomposition (ASCII text is its own decomposition).
+
+    ``of``: what ``text`` was computed from, if that decides whether it can hold other characters. Then the
+    computation itself runs once per row, on one of the two branches.
+    """
 
     def normalise(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: unicodedata.normalize("NFKD", t), na_action="ignore")
 
     udf = F.pandas_udf(normalise, StringType())
-    return F.coalesce(udf(F.when(text.rlike(r"[^\x00-\x7F]"), text)), text)
+    wide = (text if of is None else of).rlike(r"[^\x00-\x7F]")
+    return F.coalesce(udf(F.when(wide, text)), text)
 
 
 def collapse_whitespace(text: Column) -> Column:
@@ -98,7 +103,8 @@ def clean_text(text: Column, contractions: bool = True, unicode_fold: bool = Tru
     out = expand_contractions(text) if contractions else text
     out = F.lower(out)
     if unicode_fold:
-        out = nfkd(out)
+        # contractions and lower case never bring in a character beyond ASCII
+        out = nfkd(out, of=text)
     # blanks are the only whitespace left once runs are collapsed, so a plain trim is exact
     return F.trim(remove_punctuation(remove_urls(collapse_whitespace(out))))
 

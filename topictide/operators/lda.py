@@ -64,7 +64,11 @@ def _fit(rows: DataFrame, keep: list[str], s: LdaSettings) -> tuple[DataFrame, D
         return None
     counter = CountVectorizerModel.from_vocabulary(vocab, inputCol="tokens", outputCol="features")
     vectors = counter.transform(rows).select(*keep, "features").persist()
-    model = _estimator(s).fit(vectors)
+    try:
+        model = _estimator(s).fit(vectors)
+    except Exception:
+        vectors.unpersist()
+        raise
     words = F.array(*[F.lit(w) for w in vocab])
     topics = (
         model.describeTopics(TOP_WORDS)

@@ -38,21 +38,26 @@ def for_each_slice(
     starts = [r["slice"] for r in rows.select("slice").distinct().orderBy("slice").collect()]
     target = work_path(spark, "fits")
 
+    written: set[str] = set()
+
     def run(start: datetime) -> None:
         part = rows.where(F.col("slice") == F.lit(start)).drop("slice")
         results, cached = fit(start, part)
-        for name, result in results.items():
-            stamp = start.strftime("%Y-%m-%d %H:%M:%S").replace(":", "%3A")
-            result.write.mode("overwrite").parquet(f"{target}/{name}/slice={stamp}")
-        for df in cached:
-            df.unpersist()
+        try:
+            for name, result in results.items():
+                stamp = start.strftime("%Y-%m-%d %H:%M:%S").replace(":", "%3A")
+                result.write.mode("overwrite").parquet(f"{target}/{name}/slice={stamp}")
+                written.add(name)
+        finally:
+            for df in cached:
+                df.unpersist()
 
     with ThreadPoolExecutor(max_workers=workers) as pool:
         list(pool.map(inheritable_thread_target(spark)(run), starts))
 
     def read(name: str) -> DataFrame:
         schema = f"{outputs[name]}, slice timestamp"
-        if not starts:
+        if name not in written:  # no slice at all, or none with anything to fit
             return spark.createDataFrame([], schema)
         return spark.read.schema(schema).parquet(f"{target}/{name}")
 

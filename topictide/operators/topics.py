@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from topictide.operators.keywords import by_document, exploded, rounded
+from topictide.operators.keywords import exploded, rounded
 from topictide.operators.ranking import top_n
 
 NOISE = -1
@@ -39,9 +39,10 @@ def number_topics(clusters: DataFrame, min_cluster_size: int = 1) -> DataFrame:
     )
     order = Window.partitionBy("slice").orderBy(F.col("_size").desc(), F.col("_first").asc())
     numbered = sizes.select("slice", "cluster", (F.row_number().over(order) - 1).alias("topic"))
-    return clusters.join(numbered, ["slice", "cluster"], "left").select(
-        "slice", "doc_id", F.coalesce("topic", F.lit(NOISE)).alias("topic")
-    )
+    # noise stays out of the join, where all of it would meet in one key
+    found = clusters.where(F.col("cluster").isNotNull()).join(numbered, ["slice", "cluster"], "left")
+    noise = clusters.where(F.col("cluster").isNull()).select("slice", "doc_id", F.lit(NOISE).alias("topic"))
+    return found.select("slice", "doc_id", F.coalesce("topic", F.lit(NOISE)).alias("topic")).unionByName(noise)
 
 
 def attach_topics(bag: DataFrame, doc_topics: DataFrame) -> DataFrame:
@@ -61,9 +62,9 @@ def class_tfidf(bag: DataFrame) -> DataFrame:
     """(slice, topic, term, tf, score): class-based TF-IDF within each slice.
 
     tf / words of the topic * ln(1 + mean words per topic / count of the term in the slice).
-    All branches read the one exchange behind ``class_frequencies``.
+    All branches read the partial counts of ``class_frequencies``, shuffled once; the bag itself is not.
     """
-    tc = class_frequencies(by_document(bag))
+    tc = class_frequencies(bag)
     words = tc.groupBy("slice", "topic").agg(F.sum("tf").alias("_words"))
     mean = words.groupBy("slice").agg(F.avg("_words").alias("_mean"))
     total = tc.groupBy("slice", "term").agg(F.sum("tf").alias("_total"))

@@ -22,15 +22,39 @@ def flat_arrays(df: DataFrame, separator: str = ", ") -> DataFrame:
     return df.select(*flat)
 
 
-def write_raw(assigned: DataFrame, path: str, mode: str = "append") -> None:
+# Rows per file when a table is clustered by its folders.
+FILE_ROWS = 200_000
+
+
+def clustered(df: DataFrame, keys: list[str], per_file: int = FILE_ROWS) -> DataFrame:
+    """Rows gathered by folder, so that a folder gets one file per ``per_file`` rows and not one per task.
+
+    Large folders are spread over as many tasks as they need files (their counts are one row per folder).
+    """
+    folder = F.struct(*keys)
+    sizes = df.groupBy(folder.alias("_folder")).agg(F.ceil(F.count("*") / per_file).alias("_files"))
+    salt = F.pmod(F.xxhash64(*df.columns), F.col("_files")).alias("_salt")
+    salted = df.withColumn("_folder", folder).join(sizes, "_folder").select(*df.columns, salt)
+    return salted.repartition(*keys, "_salt").drop("_salt")
+
+
+def _replace(df: DataFrame, path: str, keys: list[str], mode: str, fmt: str, options: dict[str, str]) -> None:
+    """Write folders by ``keys``. Mode ``replace`` overwrites the folders that ``df`` has rows for and no others."""
+    writer = clustered(df, keys).write.partitionBy(*keys).options(**options)
+    if mode == "replace":
+        writer, mode = writer.option("partitionOverwriteMode", "dynamic"), "overwrite"
+    writer.format(fmt).mode(mode).save(path)
+
+
+def write_raw(assigned: DataFrame, path: str, mode: str = "replace") -> None:
     """Raw records of assigned intervals, one folder ``interval=<start>_to_<end>`` each.
 
-    Appending new intervals leaves those already written as they are.
+    Intervals already written stay as they are; one that is written again is replaced.
     """
     day = "yyyy-MM-dd"
     interval = F.concat_ws("_to_", F.date_format("start", day), F.date_format("end", day))
     rows = assigned.select(*[F.col(c).cast("string") for c in RAW_FIELDS], interval.alias("interval"))
-    rows.write.partitionBy("interval").options(**CSV_OPTIONS).mode(mode).csv(path)
+    _replace(rows, path, ["interval"], mode, "csv", CSV_OPTIONS)
 
 
 def written_intervals(raw: DataFrame) -> DataFrame:
@@ -46,7 +70,7 @@ def written_intervals(raw: DataFrame) -> DataFrame:
 
 def write_staged(staged: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Staged documents as Parquet, partitioned by an integer year."""
-    staged.write.partitionBy("year").mode(mode).parquet(path)
+    _replace(staged, path, ["year"], mode, "parquet", {})
 
 
 def write_metadata(docs: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -72,7 +96,7 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
 def write_embeddings(vectors: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Vectors as Parquet float arrays, partitioned by slice."""
     rows = vectors.withColumn("embedding", F.col("embedding").cast("array<float>"))
-    rows.write.partitionBy("slice").mode(mode).parquet(path)
+    _replace(rows, path, ["slice"], mode, "parquet", {})
 
 
 def result_path(base: str, job_name: str, kind: str) -> str:
@@ -80,11 +104,11 @@ def result_path(base: str, job_name: str, kind: str) -> str:
 
 
 def write_results(
-    df: DataFrame, base: str, job_name: str, config_hash: str, model: str, kind: str, mode: str = "append"
+    df: DataFrame, base: str, job_name: str, config_hash: str, model: str, kind: str, mode: str = "replace"
 ) -> str:
     """Store one result table below ``<base>/<job>/<kind>``, partitioned by model,
-    configuration and slice, so that results of several models never overwrite each other."""
+    configuration and slice: results of several models never overwrite each other, and a second run of one replaces its own."""
     path = result_path(base, job_name, kind)
     rows = df.withColumn("model", F.lit(model)).withColumn("config_hash", F.lit(config_hash))
-    rows.write.partitionBy("model", "config_hash", "slice_label").mode(mode).parquet(path)
+    _replace(rows, path, ["model", "config_hash", "slice_label"], mode, "parquet", {})
     return path
