@@ -20,11 +20,34 @@ BROADCAST_ROWS = 1_000_000
 VARIANTS = ("smooth_l2", "plain")
 
 
-def bags(docs: DataFrame, stopwords: Iterable[str] | None = None, text_col: str = "text") -> DataFrame:
+def without_stopwords(docs: DataFrame, stopwords: Iterable[str] | DataFrame | None, text_col: str = "text") -> DataFrame:
+    """``docs`` with the stopwords taken out of the text.
+
+    A list becomes a hash set of literals; a table (column ``word``), of any length, is anti-joined with the words,
+    which are then put together again by document. Documents are told apart by slice and ``doc_id``.
+    """
+    if stopwords is None:
+        return docs
+    if not isinstance(stopwords, DataFrame):
+        return docs.withColumn(text_col, T.remove_stopwords(F.col(text_col), stopwords))
+    keys = [c for c in ("slice", "doc_id") if c in docs.columns]
+    words = docs.select(*keys, F.posexplode(T.words(F.col(text_col))).alias("_at", "word"))
+    left = (
+        stopword_join(words, stopwords)
+        .groupBy(*keys)
+        .agg(F.array_sort(F.collect_list(F.struct("_at", "word"))).alias("_w"))
+        .select(*keys, F.array_join(F.transform("_w", lambda w: w["word"]), " ").alias("_text"))
+    )
+    joined = docs.join(left, keys, "left").withColumn(text_col, F.coalesce("_text", F.lit("")))
+    return joined.select(*docs.columns)
+
+
+def bags(
+    docs: DataFrame, stopwords: Iterable[str] | DataFrame | None = None, text_col: str = "text"
+) -> DataFrame:
     """(slice, doc_id, [topic,] terms array<struct<term, tf>>) of cleaned documents."""
+    docs = without_stopwords(docs, stopwords, text_col)
     text = F.col(text_col)
-    if stopwords is not None:
-        text = T.remove_stopwords(text, stopwords)
     keep = [c for c in ("slice", "slice_label", "doc_id", "topic") if c in docs.columns]
     return docs.select(*keep, T.count_terms(T.tokens(text)).alias("terms"))
 

@@ -47,9 +47,9 @@ def _estimator(s: LdaSettings) -> LDA:
     )
 
 
-def _tokenised(docs: DataFrame, stopwords: Iterable[str] | None) -> DataFrame:
-    text = F.col("text") if stopwords is None else T.remove_stopwords(F.col("text"), stopwords)
-    return docs.select("slice", "doc_id", T.tokens(text).alias("tokens"))
+def _tokenised(docs: DataFrame, stopwords: Iterable[str] | DataFrame | None) -> DataFrame:
+    docs = K.without_stopwords(docs, stopwords)
+    return docs.select("slice", "doc_id", T.tokens(F.col("text")).alias("tokens"))
 
 
 def _fit(rows: DataFrame, keep: list[str], s: LdaSettings) -> tuple[DataFrame, DataFrame, DataFrame] | None:

@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,9 +57,28 @@ def shared_dir(spark: SparkSession) -> str:
     return os.path.join(tempfile.gettempdir(), "topictide")
 
 
+_scratch: ContextVar[str | None] = ContextVar("topictide_scratch", default=None)
+
+
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder (inside ``scratch``, below that run's own)."""
+    return f"{_scratch.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str = "run") -> Iterator[str]:
+    """A folder for all intermediate tables of one run, deleted when the run ends.
+
+    Tables that are still lazily defined on them have to be written before that.
+    """
+    folder = work_path(spark, name)
+    token = _scratch.set(folder)
+    try:
+        yield folder
+    finally:
+        _scratch.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

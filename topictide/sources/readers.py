@@ -52,12 +52,10 @@ def read_stopwords(spark: SparkSession, path: str, top: int | str | None = "all"
     return listed.where(F.col("pos") < (0 if top is None else top))
 
 
-def stopword_list(stopwords: DataFrame) -> list[str]:
-    """The words as a Python list, for ``remove_stopwords``; longer lists need ``stopword_join``."""
+def stopword_list(stopwords: DataFrame) -> list[str] | DataFrame:
+    """The words as a Python list, which becomes literals of a plan; a longer list stays the table that it is."""
     rows = stopwords.orderBy("pos").select("word").limit(MAX_LITERAL_STOPWORDS + 1).collect()
-    if len(rows) > MAX_LITERAL_STOPWORDS:
-        raise ValueError("too many stopwords for a literal list; use stopword_join")
-    return [r["word"] for r in rows]
+    return stopwords if len(rows) > MAX_LITERAL_STOPWORDS else [r["word"] for r in rows]
 
 
 def read_slice_results(spark: SparkSession, path: str, schema: str, pattern: str = "*.csv") -> DataFrame:
