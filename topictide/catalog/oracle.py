@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from topictide.catalog.inputs import STOPWORDS
-from topictide.plans.config import fingerprint
-from topictide.catalog.queries import RESULT_CONFIG
+
+# The settings of the stored results as JSON with sorted keys, written out.
+_RESULT_JSON = '{"job_name": "topics-monthly", "n_topics": 7, "sampling_freq": "monthly"}'
 
 # ---- fixed values: decompositions of the accented letters of the given tables ----
 _ACCENTS = {
@@ -75,7 +76,7 @@ STEPS: dict[str, str] = {
     "trend_text": "SELECT slice_label, topic, string_agg(term, ' ' ORDER BY rank) AS text FROM trend_terms GROUP BY ALL",
     "weights": """SELECT slice_label, doc_id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)) AS weight FROM (
         SELECT slice_label, doc_id, term, tf * (ln((1e0 + n) / (1e0 + df)) + 1e0) AS raw
-        FROM tf JOIN vocab200 USING (slice_label, term) JOIN totals USING (slice_label))""",
+        FROM tf JOIN stats USING (slice_label, term) JOIN totals USING (slice_label))""",
     "full_weights": """SELECT slice_label, doc_id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)) AS weight FROM (
         SELECT slice_label, doc_id, term, tf * (ln((1e0 + n) / (1e0 + df)) + 1e0) AS raw
         FROM tf JOIN stats USING (slice_label, term) JOIN totals USING (slice_label))""",
@@ -96,9 +97,10 @@ STEPS: dict[str, str] = {
         LEFT JOIN (SELECT root, topic FROM dense) USING (root)""".replace(
         "FROM labels l0", "FROM (SELECT doc_id, slice_label FROM labels) l0"
     ),
-    "xy": """SELECT label % 6 AS m, vec_id AS doc_id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings""",
+    "xy": """SELECT label % 6 AS m, vec_id AS doc_id, round(list_sum(list_transform(embedding[1:32], lambda v: CAST(v AS DOUBLE))), 9) AS x,
+        round(list_sum(list_transform(embedding[33:64], lambda v: CAST(v AS DOUBLE))), 9) AS y FROM embeddings""",
     "xy_near": """SELECT p.m, p.doc_id AS a, q.doc_id AS b FROM xy p JOIN xy q ON p.m = q.m
-        AND (p.x - q.x) * (p.x - q.x) + (p.y - q.y) * (p.y - q.y) <= 0.04e0 * 0.04e0""",
+        AND (p.x - q.x) * (p.x - q.x) + (p.y - q.y) * (p.y - q.y) <= 0.2e0 * 0.2e0""",
     "xy_core": "SELECT a FROM xy_near GROUP BY a HAVING count(*) >= 4",
     "xy_reach": """SELECT a, a AS b FROM xy_core UNION SELECT r.a, n.b FROM xy_reach r JOIN xy_near n ON n.a = r.b
         WHERE n.b IN (SELECT a FROM xy_core)""",
@@ -118,7 +120,7 @@ _NEEDS = {
     "unstopped": ["monthly"], "tf": ["monthly"], "stats": ["tf"], "totals": ["monthly"], "vocab50": ["stats"],
     "vocab200": ["stats"], "vocab500": ["stats"], "labels": ["docs"], "tc": ["tf", "labels"], "ctfidf": ["tc"],
     "terms": ["ctfidf"], "trend_terms": ["terms"], "trend_text": ["trend_terms"],
-    "weights": ["vocab200", "totals"], "full_weights": ["stats", "totals"], "sums": ["weights", "labels"],
+    "weights": ["stats", "totals"], "full_weights": ["stats", "totals"], "sums": ["weights", "labels"],
     "centers": ["sums"], "reps": ["centers"], "near": ["full_weights"], "core": ["near"], "link": ["core"],
     "reach": ["link"], "component": ["reach"], "dense": ["component", "labels"], "density": ["dense"],
     "xy_near": ["xy"], "xy_core": ["xy_near"], "xy_reach": ["xy_core"], "xy_component": ["xy_reach"], "xy_topic": ["xy_component"],
@@ -269,15 +271,15 @@ ORACLE: dict[str, str] = {
     "w2_vocab": sql("SELECT slice_label, term, cf FROM vocab500", "vocab500"),
     "m1_count_vectors": sql(
         """SELECT doc_id, term_id, tf FROM tf JOIN (SELECT slice_label, term,
-        row_number() OVER (PARTITION BY slice_label ORDER BY term) - 1 AS term_id FROM vocab50) USING (slice_label, term)""", "vocab50",
+        row_number() OVER (PARTITION BY slice_label ORDER BY term) - 1 AS term_id FROM vocab500) USING (slice_label, term)""", "vocab500",
     ),
     "a6_tfidf_doc": sql("SELECT doc_id, term, round(weight, 6) AS weight FROM full_weights", "full_weights"),
     "a6_tfidf_doc_top_vocab": sql(
-        f"SELECT doc_id, term, round(weight, 6) AS weight FROM ({_TFIDF.format(tf='tf', vocab='vocab50')})", "vocab50", "totals"
+        f"SELECT doc_id, term, round(weight, 6) AS weight FROM ({_TFIDF.format(tf='tf', vocab='vocab500')})", "vocab500", "totals"
     ),
     "a7_tfidf_slice": sql(
-        f"SELECT slice_label, term, round(sum(weight), 6) AS score FROM ({_TFIDF.format(tf='tf', vocab='vocab50')}) GROUP BY ALL",
-        "vocab50", "totals",
+        f"SELECT slice_label, term, round(sum(weight), 6) AS score FROM ({_TFIDF.format(tf='tf', vocab='vocab500')}) GROUP BY ALL",
+        "vocab500", "totals",
     ),
     "a8_tfidf_plain": sql(
         """SELECT slice_label, term, round(sum(tf / len * ln(n / (1e0 + df))), 6) AS score FROM tf
@@ -296,7 +298,7 @@ ORACLE: dict[str, str] = {
         """SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY round(weight, 6) DESC, term) AS rank, term, round(weight, 6) AS weight
         FROM full_weights QUALIFY rank <= 5""", "full_weights",
     ),
-    "w11_keyword_freq_sorted": sql("SELECT slice_label, term, cf AS frequency FROM vocab200", "vocab200"),
+    "w11_keyword_freq_sorted": sql("SELECT slice_label, term, cf AS frequency FROM vocab500", "vocab500"),
     "p21_joined_keywords": sql(
         f"""SELECT slice_label, string_agg(term, ', ' ORDER BY rank) AS top_keywords FROM (SELECT slice_label, term,
         row_number() OVER (PARTITION BY slice_label ORDER BY round(score, 6) DESC, term) AS rank FROM (SELECT slice_label, term,
@@ -377,20 +379,20 @@ ORACLE: dict[str, str] = {
             FROM counts c LEFT JOIN flagged f USING (slice_label, topic)) WHERE label IS NOT NULL""", "trend_text", "labels",
     ),
     "j9_attach_layout": sql(
-        """SELECT doc_id, topic, round(CAST(embedding[1] AS DOUBLE), 6) AS x, round(CAST(embedding[2] AS DOUBLE), 6) AS y
-        FROM labels LEFT JOIN embeddings ON vec_id = doc_id""", "labels",
+        "SELECT doc_id, topic, round(x, 6) AS x, round(y, 6) AS y FROM labels LEFT JOIN xy USING (doc_id)", "labels", "xy",
     ),
     "j8_counted_slices": sql(
         "SELECT slice_label, topic, count(*) AS doc_count FROM labels WHERE slice_label <= '2024-04' GROUP BY ALL", "labels"
     ),
     "p23_complete_positions": sql(
-        """SELECT slice_label, topic, count(*) AS n, round(avg(CAST(embedding[1] AS DOUBLE)), 6) AS x,
-        round(avg(CAST(embedding[2] AS DOUBLE)), 6) AS y FROM labels JOIN embeddings ON vec_id = doc_id GROUP BY ALL""", "labels",
+        """SELECT slice_label, topic, n, round(x, 6) AS x, round(y, 6) AS y FROM (
+            SELECT slice_label, topic, avg(x) AS x, avg(y) AS y FROM labels JOIN xy USING (doc_id) GROUP BY ALL)
+        JOIN (SELECT slice_label, topic, count(*) AS n FROM terms GROUP BY ALL) USING (slice_label, topic)""", "labels", "xy", "terms",
     ),
     "m14_topic_positions": sql(
         """SELECT slice_label, topic, term AS keyword, round(score, 6) AS score, round(x, 6) AS x, round(y, 6) AS y FROM terms JOIN (
-        SELECT slice_label, topic, avg(CAST(embedding[1] AS DOUBLE)) AS x, avg(CAST(embedding[2] AS DOUBLE)) AS y
-        FROM labels JOIN embeddings ON vec_id = doc_id GROUP BY ALL) USING (slice_label, topic)""", "terms", "labels",
+        SELECT slice_label, topic, avg(x) AS x, avg(y) AS y
+        FROM labels JOIN xy USING (doc_id) GROUP BY ALL) USING (slice_label, topic)""", "terms", "labels", "xy",
     ),
     "m16_cluster_timesliced": sql(
         """, c AS (SELECT slice_label, topic, term, CAST(sum(tf) AS BIGINT) AS tf FROM tf JOIN density USING (doc_id, slice_label) GROUP BY ALL),
@@ -417,15 +419,64 @@ ORACLE: dict[str, str] = {
     "w6_first_stopwords": """SELECT CAST(row_number() OVER (ORDER BY n_nationkey) - 1 AS INTEGER) AS pos, lower(n_name) AS word FROM nation
         QUALIFY pos < 7""",
     "s6_slice_results": sql("SELECT slice_label, topic, count(*) AS doc_count FROM labels GROUP BY ALL", "labels"),
-    "s9_keywords_csv": sql("SELECT slice_label, term, cf AS frequency FROM vocab200", "vocab200"),
-    "s10_keywords_parquet": sql("SELECT slice_label, term, cf AS frequency FROM vocab200", "vocab200"),
-    "s11_embeddings": """SELECT vec_id AS doc_id, round(sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * x))), 6) AS norm,
-        len(embedding) AS width FROM embeddings""",
+    "s9_keywords_csv": sql("SELECT slice_label, term, cf AS frequency FROM vocab500", "vocab500"),
+    "s10_keywords_parquet": sql("SELECT slice_label, term, cf AS frequency FROM vocab500", "vocab500"),
+    "s11_embeddings": """SELECT vec_id AS doc_id, '2024-0' || (label % 6 + 1) AS slice_label,
+        md5(array_to_string(list_transform(embedding, lambda x: CAST(CAST(floor(CAST(x AS DOUBLE) * 10000) AS BIGINT) AS VARCHAR)), ',')) AS digest
+        FROM embeddings""",
     "s13_result_layout": sql(
-        f"""SELECT topic, doc_count, model, '{fingerprint(RESULT_CONFIG)}' AS config_hash, slice_label FROM
+        f"""SELECT topic, doc_count, model, substr(sha1('{_RESULT_JSON}'), 1, 8) AS config_hash, slice_label FROM
         (SELECT slice_label, topic, count(*) AS doc_count FROM labels GROUP BY ALL), (VALUES ('tfidf'), ('clusters')) AS m(model)""",
         "labels",
     ),
 }
 ORACLE["s12_trend_csv"] = ORACLE["m15_trend_summary"]
 ORACLE["p15_clean_pages"] = f"SELECT page_id, {_clean("url || ' ' || html")} AS text FROM pages"
+
+
+# ---- properties of fitted models ----
+# monthly documents without stopwords, their terms, and the 1000 most frequent terms of a slice (or of the corpus)
+def _lda_terms(scope: str) -> str:
+    return rf"""lt AS (SELECT {scope} AS scope, slice_label, doc_id, term, count(*) AS tf FROM (SELECT slice_label, doc_id,
+        unnest(regexp_extract_all(text, '[\p{{L}}\p{{N}}_]{{2,}}')) AS term FROM unstopped) GROUP BY ALL),
+    lv AS (SELECT scope, term FROM lt GROUP BY scope, term QUALIFY row_number() OVER (PARTITION BY scope ORDER BY sum(tf) DESC, term) <= 1000)"""
+
+
+_TOPICS = "(SELECT unnest(range(10)) AS topic)"
+ORACLE["m2_lda_timesliced"] = sql("", "unstopped") + f""", {_lda_terms("slice_label")}
+    SELECT slice_label, topic, rank, 10 AS n_terms, true AS known FROM (SELECT DISTINCT slice_label FROM lt), {_TOPICS},
+    (SELECT unnest(range(1, 11)) AS rank)"""
+ORACLE["w3_lda_topic_strings"] = sql("", "unstopped") + f""", {_lda_terms("slice_label")}
+    SELECT slice_label, 'Topic ' || topic AS topic, 10 AS n_words FROM (SELECT DISTINCT slice_label FROM lt), {_TOPICS}"""
+ORACLE["m3_lda_mixture"] = sql("", "unstopped") + f""", {_lda_terms("slice_label")}
+    SELECT doc_id, CAST(doc_id IN (SELECT doc_id FROM lt JOIN lv USING (scope, term)) AS DOUBLE) AS total, true AS shares FROM monthly"""
+ORACLE["m4_lda_corpus"] = sql("", "unstopped") + f""", {_lda_terms("'all'")}
+    SELECT slice_label, 10 AS n_topics, round(avg(CAST(doc_id IN (SELECT doc_id FROM lt JOIN lv USING (scope, term)) AS DOUBLE)), 6) AS total
+    FROM monthly GROUP BY slice_label"""
+ORACLE["m5_embed_documents"] = sql("", "clean") + """, h AS (SELECT doc_id, md5(w) AS d FROM (
+        SELECT doc_id, unnest(string_split(text, ' ')) AS w FROM clean) WHERE w <> ''),
+    s AS (SELECT doc_id, CAST('0x' || substr(d, 1, 2) AS INTEGER) % 32 AS "at",
+        sum(CASE WHEN substr(d, 3, 1) IN ('0', '1', '2', '3', '4', '5', '6', '7') THEN 1e0 ELSE -1e0 END) AS v FROM h GROUP BY ALL),
+    n AS (SELECT doc_id, sqrt(sum(v * v)) AS n FROM s GROUP BY doc_id)
+    SELECT doc_id, "at", round(CASE WHEN n > 0 THEN coalesce(v, 0) / n ELSE 0 END, 4) AS value
+    FROM (SELECT doc_id, unnest(range(32)) AS "at" FROM clean) LEFT JOIN s USING (doc_id, "at") LEFT JOIN n USING (doc_id)"""
+_PAIRS = "(SELECT a, b FROM range({0}) x(a), range({0}) y(b) WHERE a < b)"
+ORACLE["m6_reduce_dimensions"] = f"""SELECT a, b, (SELECT count(*) FROM embeddings) AS n, 0e0 AS covariance, true AS ordered
+    FROM {_PAIRS.format(5)}"""
+ORACLE["m13_layout_2d"] = f"""SELECT a, b, (SELECT count(*) FROM documents) AS n, 0e0 AS covariance, true AS ordered
+    FROM {_PAIRS.format(2)}"""
+ORACLE["m9_kmeans_topics"] = """SELECT '2024-0' || (label % 6 + 1) AS slice_label, count(*) AS n, true AS at_most_4, true AS ordered
+    FROM embeddings GROUP BY ALL"""
+ORACLE["a7_tfidf_table_stopwords"] = _other(
+    "SELECT slice_label, term, round(sum(weight), 6) AS score FROM weights2 GROUP BY ALL", "stopped", _ALL, "monthly", "tf",
+    extra="""stop AS (SELECT term FROM tf GROUP BY term ORDER BY count(*) DESC, term LIMIT 20),
+        stopped AS (SELECT m.doc_id, m.slice_label, coalesce(s.text, '') AS text FROM monthly m LEFT JOIN (
+            SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS text FROM (
+                SELECT doc_id, unnest(string_split(text, ' ')) AS w, generate_subscripts(string_split(text, ' '), 1) AS i FROM monthly)
+            WHERE w <> '' AND w NOT IN (SELECT term FROM stop) GROUP BY doc_id) s USING (doc_id)), """,
+)
+ORACLE["t4_collected_records"] = sql(
+    """SELECT id, start, "end" FROM (SELECT CAST(doc_id AS VARCHAR) AS id, published, start, "end" FROM docs
+        JOIN weeks2024 ON published >= start AND published < "end" WHERE doc_id % 2 = 0 OR start >= TIMESTAMP '2024-03-01')
+    QUALIFY row_number() OVER (PARTITION BY start ORDER BY published DESC, id) <= 10""", "weeks2024",
+)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topictide.catalog import inputs as I
@@ -22,10 +22,10 @@ from topictide.sources import readers, writers
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-SMALL_VOCABULARY = 50
+VOCABULARY = 500
 DENSITY = density.DensitySettings(eps=0.4, min_samples=3, min_cluster_size=5)
-GRID = grid_density.GridSettings(eps=0.04, min_samples=4, min_cluster_size=5)
-LDA_SETTINGS = lda.LdaSettings(n_topics=5, max_features=200)
+GRID = grid_density.GridSettings(eps=0.2, min_samples=4, min_cluster_size=5)
+LDA_SETTINGS = lda.LdaSettings(n_topics=10, max_features=1000)
 RESULT_CONFIG = {"job_name": "topics-monthly", "sampling_freq": "monthly", "n_topics": 7}
 
 
@@ -101,6 +101,22 @@ def t4_pending_intervals(spark, sf_dir):
     return intervals.pending_intervals(intervals.time_ranges_of(docs, "weekly"), done)
 
 
+@query
+def t4_collected_records(spark, sf_dir):
+    """Window, cap and resume together: the even documents up to March, then all of them; what was there stays."""
+    path = work_path(spark, "raw")
+    docs = I.documents(spark, sf_dir).withColumn("id", F.col("doc_id").cast("string"))
+    config = RunConfig(start_year=2024, end_year=2024, sampling_freq="weekly", max_per_interval=10)
+    early = F.col("published") < F.lit("2024-03-04").cast("timestamp")
+    runs.collect_records(docs.where(early & (F.col("doc_id") % 2 == 0)), path, config)
+    runs.collect_records(docs, path, config)
+    rows = spark.read.option("basePath", path).options(**readers.CSV_OPTIONS).option("multiLine", "true").csv(path)
+    bounds = F.split("interval", "_to_")
+    return rows.select("id", F.to_timestamp(bounds[0]).alias("start"), F.to_timestamp(bounds[1]).alias("end")).select(
+        F.col("id").cast("string").alias("id"), "start", "end"
+    )
+
+
 @query
 def t5_empty_intervals(spark, sf_dir):
     docs = I.documents(spark, sf_dir).select("doc_id", "published")
@@ -380,7 +396,7 @@ def w2_vocab(spark, sf_dir):
 
 @query
 def m1_count_vectors(spark, sf_dir):
-    vectors = K.count_vectors(_bag(spark, sf_dir), SMALL_VOCABULARY)
+    vectors = K.count_vectors(_bag(spark, sf_dir), VOCABULARY)
     return vectors.select("doc_id", F.col("term_id").cast("long").alias("term_id"), "tf")
 
 
@@ -392,13 +408,21 @@ def a6_tfidf_doc(spark, sf_dir):
 
 @query
 def a6_tfidf_doc_top_vocab(spark, sf_dir):
-    weights = K.tfidf_documents(_bag(spark, sf_dir), SMALL_VOCABULARY)
+    weights = K.tfidf_documents(_bag(spark, sf_dir), VOCABULARY)
     return weights.select("doc_id", "term", r6("weight").alias("weight"))
 
 
+@query
+def a7_tfidf_table_stopwords(spark, sf_dir):
+    """TF-IDF without the twenty terms that most documents hold; the list is a table."""
+    found = K.term_stats(K.corpus_wide(_bag(spark, sf_dir))).orderBy(F.desc("df"), "term").limit(20)
+    scores = K.tfidf_slices(K.bags(I.sliced(spark, sf_dir), found.select(F.col("term").alias("word"))))
+    return with_label(scores.select("slice", "term", r6("score").alias("score")))
+
+
 @query
 def a7_tfidf_slice(spark, sf_dir):
-    scores = K.tfidf_slices(_bag(spark, sf_dir), SMALL_VOCABULARY)
+    scores = K.tfidf_slices(_bag(spark, sf_dir), VOCABULARY)
     return with_label(scores.select("slice", "term", r6("score").alias("score")))
 
 
@@ -429,7 +453,7 @@ def w9_document_keywords(spark, sf_dir):
 
 @query
 def w11_keyword_freq_sorted(spark, sf_dir):
-    freq = with_label(K.keyword_frequency(_bag(spark, sf_dir), 200))
+    freq = with_label(K.keyword_frequency(_bag(spark, sf_dir), VOCABULARY))
     return freq.orderBy("slice_label", F.col("frequency").desc(), "term")
 
 
@@ -487,8 +511,8 @@ def w7_number_topics(spark, sf_dir):
     return topics.number_topics(clusters, 5).select("doc_id", F.col("topic").cast("long").alias("topic"))
 
 
-def _weights(spark: SparkSession, sf_dir: str, max_features: int | None = 200) -> DataFrame:
-    return materialise(K.tfidf_documents(_bag(spark, sf_dir), max_features), "weights")
+def _weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialise(K.tfidf_documents(_bag(spark, sf_dir)), "weights")
 
 
 @query
@@ -529,13 +553,13 @@ def m8_reduce_topics(spark, sf_dir):
 
 @query
 def j11_core_documents(spark, sf_dir):
-    return density.core_documents(_weights(spark, sf_dir, None), DENSITY).select("doc_id")
+    return density.core_documents(_weights(spark, sf_dir), DENSITY).select("doc_id")
 
 
 @query
 def m7_density_topics(spark, sf_dir):
     docs = slicing.with_slice(I.documents(spark, sf_dir), "monthly")
-    labels = density.density_topics(docs, _weights(spark, sf_dir, None), DENSITY)
+    labels = density.density_topics(docs, _weights(spark, sf_dir), DENSITY)
     return labels.select("doc_id", F.col("topic").cast("long").alias("topic"))
 
 
@@ -618,13 +642,19 @@ def m15_trend_summary(spark, sf_dir):
     return with_label(trend.trend_summary(terms, _fixture_topics(spark, sf_dir), "en|st"))
 
 
+def _halves() -> list[Column]:
+    """Two coordinates from all 64: the sums of the first and of the second half of a vector."""
+
+    def total(part: Column) -> Column:
+        return F.round(F.aggregate(part, F.lit(0.0), lambda a, x: a + x.cast("double")), 9)
+
+    return [total(F.slice("embedding", 1, 32)), total(F.slice("embedding", 33, 32))]
+
+
 def _layout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Coordinates from ``embeddings``; documents beyond them have none."""
-    xy = I.table(spark, sf_dir, "embeddings").select(
-        F.col("vec_id").alias("doc_id"),
-        F.element_at("embedding", 1).cast("double").alias("x"),
-        F.element_at("embedding", 2).cast("double").alias("y"),
-    )
+    """Stored coordinates of the documents, from ``embeddings``; documents beyond them have none."""
+    x, y = _halves()
+    xy = I.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), x.alias("x"), y.alias("y"))
     return _fixture_topics(spark, sf_dir).join(xy, "doc_id", "left")
 
 
@@ -635,8 +665,8 @@ def j9_attach_layout(spark, sf_dir):
 
 @query
 def p23_complete_positions(spark, sf_dir):
-    rows = _layout(spark, sf_dir).where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    return with_label(rows.groupBy("slice", "topic").agg(F.count("*").alias("n"), r6(F.avg("x")).alias("x"), r6(F.avg("y")).alias("y")))
+    rows = trend.topic_positions(_fixture_terms(spark, sf_dir), _layout(spark, sf_dir))
+    return with_label(rows.groupBy("slice", "topic").agg(F.count("*").alias("n"), r6(F.min("x")).alias("x"), r6(F.max("y")).alias("y")))
 
 
 @query
@@ -647,38 +677,56 @@ def m14_topic_positions(spark, sf_dir):
     )
 
 
-# ---- models without an SQL equivalent ----
+# ---- fitted models: what SQL can state about their results ----
+
+
+def _lda(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return lda.lda_timesliced(I.sliced(spark, sf_dir), LDA_SETTINGS, I.STOPWORDS)
 
 
 @query
 def m2_lda_timesliced(spark, sf_dir):
-    found, _ = lda.lda_timesliced(I.sliced(spark, sf_dir), LDA_SETTINGS, I.STOPWORDS)
-    return found
+    """Every rank of every topic, and whether its term is in the slice's vocabulary."""
+    found, _ = _lda(spark, sf_dir)
+    vocabulary = K.vocabulary(K.bags(I.sliced(spark, sf_dir), I.STOPWORDS), LDA_SETTINGS.max_features)
+    known = vocabulary.select("slice", "term", F.lit(True).alias("known"))
+    rows = found.join(known, ["slice", "term"], "left").withColumn("known", F.coalesce("known", F.lit(False)))
+    distinct = rows.groupBy("slice", "topic").agg(F.count_distinct("term").alias("n_terms"))
+    rows = rows.join(distinct, ["slice", "topic"]).select("slice", *[F.col(c).cast("long").alias(c) for c in ("topic", "rank", "n_terms")], "known")
+    return with_label(rows)
 
 
 @query
 def m3_lda_mixture(spark, sf_dir):
-    _, mixtures = lda.lda_timesliced(I.sliced(spark, sf_dir), LDA_SETTINGS, I.STOPWORDS)
-    return lda.wide_mixtures(mixtures, LDA_SETTINGS.n_topics)
+    """The wide mixtures: every document, the sum of its columns, and whether they are shares."""
+    _, mixtures = _lda(spark, sf_dir)
+    wide = lda.wide_mixtures(mixtures, LDA_SETTINGS.n_topics)
+    columns = [F.col(f"Topic {i}") for i in range(LDA_SETTINGS.n_topics)]
+    total, least = sum(columns[1:], columns[0]), F.least(*columns)
+    return wide.select("doc_id", F.round(total, 6).alias("total"), (least >= 0).alias("shares"))
 
 
 @query
 def w3_lda_topic_strings(spark, sf_dir):
-    found, _ = lda.lda_timesliced(I.sliced(spark, sf_dir), LDA_SETTINGS, I.STOPWORDS)
-    return lda.topic_strings(found)
+    found, _ = _lda(spark, sf_dir)
+    words = F.split("top_keywords", ", ")
+    rows = lda.topic_strings(found).select("slice", "topic", F.size(words).cast("long").alias("n_words"))
+    return with_label(rows)
 
 
 @query
 def m4_lda_corpus(spark, sf_dir):
+    """Mean shares of every slice: how many topics, and their sum over the documents."""
     _, mixtures = lda.lda_corpus(I.sliced(spark, sf_dir), LDA_SETTINGS, I.STOPWORDS)
-    return lda.mean_mixture(mixtures)
+    means = lda.mean_mixture(mixtures).groupBy("slice").agg(F.count("*").alias("n_topics"), F.round(F.sum("share"), 6).alias("total"))
+    return with_label(means)
 
 
 def hashed_encoder(dim: int = 32):
-    """A small deterministic encoder for the query: signed hashed words."""
+    """A small deterministic encoder for the query: words signed and placed by digits of their MD5."""
 
     def make():
-        import zlib
+        import hashlib
 
         import numpy as np
 
@@ -686,8 +734,8 @@ def hashed_encoder(dim: int = 32):
             out = np.zeros((len(texts), dim), dtype="float32")
             for row, text in enumerate(texts):
                 for word in text.split():
-                    code = zlib.crc32(word.encode())
-                    out[row, code % dim] += 1.0 if code & 1024 else -1.0
+                    digits = hashlib.md5(word.encode()).hexdigest()
+                    out[row, int(digits[:2], 16) % dim] += 1.0 if digits[2] in "01234567" else -1.0
             return out
 
         return encode
@@ -697,7 +745,9 @@ def hashed_encoder(dim: int = 32):
 
 @query
 def m5_embed_documents(spark, sf_dir):
-    return embedding.embed_documents(I.sliced(spark, sf_dir), hashed_encoder())
+    vectors = embedding.embed_documents(I.sliced(spark, sf_dir), hashed_encoder())
+    rows = vectors.select("doc_id", F.posexplode("embedding").alias("at", "value"))
+    return rows.select("doc_id", F.col("at").cast("long").alias("at"), F.round(F.col("value").cast("double"), 4).alias("value"))
 
 
 def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -707,9 +757,28 @@ def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _axes(coordinates: DataFrame, dim: int) -> DataFrame:
+    """(a, b, n, covariance, ordered): axes of a reduction are uncorrelated, and no axis spreads more than the one before it."""
+    at = [F.element_at("embedding", i + 1).cast("double") for i in range(dim)]
+    pairs = [(i, j) for i in range(dim) for j in range(i + 1, dim)]
+    sums = coordinates.agg(
+        F.count("*").alias("n"),
+        *[F.covar_pop(at[i], at[j]).alias(f"c{i}_{j}") for i, j in pairs],
+        *[F.var_pop(at[i]).alias(f"v{i}") for i in range(dim)],
+    )
+    rows = [
+        F.struct(
+            F.lit(i).cast("long").alias("a"), F.lit(j).cast("long").alias("b"), F.col("n"),
+            (F.round(F.col(f"c{i}_{j}"), 6) + 0.0).alias("covariance"), (F.col(f"v{i}") >= F.col(f"v{j}")).alias("ordered"),
+        )
+        for i, j in pairs
+    ]
+    return sums.select(F.inline(F.array(*rows)))
+
+
 @query
 def m6_reduce_dimensions(spark, sf_dir):
-    return embedding.reduce_dimensions(_vectors(spark, sf_dir), 5)
+    return _axes(embedding.reduce_dimensions(_vectors(spark, sf_dir), 5), 5)
 
 
 @query
@@ -717,7 +786,7 @@ def m7_grid_density_topics(spark, sf_dir):
     vectors = I.table(spark, sf_dir, "embeddings").select(
         F.make_timestamp(F.lit(2024), F.col("label") % 6 + 1, F.lit(1), F.lit(0), F.lit(0), F.lit(0)).alias("slice"),
         F.col("vec_id").alias("doc_id"),
-        F.slice("embedding", 1, 2).alias("embedding"),
+        F.array(*_halves()).alias("embedding"),
     )
     found = grid_density.grid_density_topics(vectors, GRID)
     return found.select("doc_id", F.col("topic").cast("long").alias("topic"))
@@ -725,12 +794,20 @@ def m7_grid_density_topics(spark, sf_dir):
 
 @query
 def m9_kmeans_topics(spark, sf_dir):
-    return kmeans.kmeans_topics(_vectors(spark, sf_dir), 4)
+    """Sizes of a slice's topics: all documents are in one, and the numbers follow the sizes."""
+    labels = kmeans.kmeans_topics(_vectors(spark, sf_dir), 4)
+    sizes = labels.groupBy("slice", "topic").agg(F.count("*").alias("n"))
+    listed = F.array_sort(F.collect_list(F.struct("topic", "n")))
+    per_slice = sizes.groupBy("slice").agg(F.sum("n").alias("n"), F.count("*").alias("k"), listed.alias("l"), F.min("topic").alias("low"))
+    counts = F.transform("l", lambda x: x["n"])
+    ordered = F.sort_array(counts, asc=False) == counts
+    return with_label(per_slice.select("slice", "n", (F.col("k") <= 4).alias("at_most_4"), (ordered & (F.col("low") == 0)).alias("ordered")))
 
 
 @query
 def m13_layout_2d(spark, sf_dir):
-    return embedding.layout_2d(embedding.dense_tfidf(_bag(spark, sf_dir), 64))
+    layout = embedding.layout_2d(embedding.dense_tfidf(_bag(spark, sf_dir)))
+    return _axes(layout.withColumn("embedding", F.array("x", "y")), 2)
 
 
 @query
@@ -797,19 +874,29 @@ def w6_first_stopwords(spark, sf_dir):
     return readers.read_stopwords(spark, _word_list(spark, sf_dir), 7)
 
 
+def _rename_part(spark: SparkSession, folder: str, target: str) -> None:
+    """Give the single file of a folder a name of its own."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.rename(files.globStatus(path(f"{folder}/part-*"))[0].getPath(), path(target))
+
+
 @query
 def s6_slice_results(spark, sf_dir):
     path = work_path(spark, "results")
     counts = with_label(trend.topic_counts(_fixture_topics(spark, sf_dir)))
-    writers.write_csv(counts.withColumn("slice", F.col("slice_label")), path, partition_by=["slice_label"])
-    rows = spark.read.schema("topic int, doc_count long, slice string, slice_label string").options(**readers.CSV_OPTIONS)
-    return rows.csv(path).select("slice_label", "topic", "doc_count")
+    # one file per slice, named after it, as other tools leave them
+    for label in [r["slice_label"] for r in counts.select("slice_label").distinct().collect()]:  # calendar bound
+        writers.write_csv(counts.where(F.col("slice_label") == label).coalesce(1).drop("slice_label"), f"{path}/parts/{label}")
+        _rename_part(spark, f"{path}/parts/{label}", f"{path}/doc_counts_{label}.csv")
+    rows = readers.read_slice_results(spark, path, "topic int, doc_count long")
+    return rows.select("slice_label", "topic", "doc_count")
 
 
 @query
 def s9_keywords_csv(spark, sf_dir):
     path = work_path(spark, "keywords")
-    writers.write_csv(with_label(K.keyword_frequency(_bag(spark, sf_dir), 200)), path)
+    writers.write_csv(with_label(K.keyword_frequency(_bag(spark, sf_dir), VOCABULARY)), path)
     schema = "slice_label string, term string, frequency long"
     return spark.read.schema(schema).options(**readers.CSV_OPTIONS).csv(path)
 
@@ -817,7 +904,7 @@ def s9_keywords_csv(spark, sf_dir):
 @query
 def s10_keywords_parquet(spark, sf_dir):
     path = work_path(spark, "keywords")
-    writers.write_parquet(with_label(K.keyword_frequency(_bag(spark, sf_dir), 200)), path, partition_by=["slice_label"])
+    writers.write_parquet(with_label(K.keyword_frequency(_bag(spark, sf_dir), VOCABULARY)), path, partition_by=["slice_label"])
     return spark.read.schema("term string, frequency long, slice_label string").parquet(path)
 
 
@@ -826,8 +913,8 @@ def s11_embeddings(spark, sf_dir):
     path = work_path(spark, "vectors")
     writers.write_embeddings(_vectors(spark, sf_dir), path)
     back = spark.read.parquet(path)
-    norm = F.sqrt(V.squared_norm(F.col("embedding")))
-    return back.select("doc_id", r6(norm).alias("norm"), F.size("embedding").cast("long").alias("width"))
+    values = F.transform("embedding", lambda x: F.floor(x.cast("double") * 10000).cast("string"))
+    return back.select("doc_id", F.date_format("slice", "yyyy-MM").alias("slice_label"), F.md5(F.array_join(values, ",")).alias("digest"))
 
 
 @query
