@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topictide.llm.common import slices
+from topictide.llm.common import slices, small_batches
 
 # ---- fixed values -------------------------------------------------------------------
 TURN_START = "<|im_start|>"
@@ -143,6 +143,7 @@ def format_chat(
     count as empty; rows without a conversation id form one conversation of their own. A conversation is one value and so has
     to fit a Spark cell (2 GB). Other columns are not read; an empty table gives an empty result.
     """
+    small_batches(conversations.sparkSession)
     rows = conversations.select(
         F.col(conv_col).cast("long").alias("conv_id"),
         F.col(turn_col).alias("turn"),

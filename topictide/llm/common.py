@@ -41,6 +41,18 @@ def parts_for(rows: int, per_part: int) -> int:
     return max(1, -(-rows // per_part))
 
 
+BATCH_RECORDS = 1000
+
+
+def small_batches(spark: SparkSession | None = None) -> None:
+    """Send at most ``BATCH_RECORDS`` rows at a time to Python workers of this session: texts are long, and the default
+    of 10,000 rows would keep tens of megabytes of them in every buffer on the way."""
+    conf = (spark or SparkSession.active()).conf
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_RECORDS:
+        conf.set(name, str(BATCH_RECORDS))
+
+
 def slices(batches: Iterator[pa.RecordBatch], max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each slice holds about ``max_bytes`` at most (one row at least)."""
     for batch in batches:

@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from topictide.llm.common import small_batches
+
 SIZES = (2, 3)  # n-gram lengths, word boundaries included
 PROBES, LOG_BITS = 3, 20  # 2^20 words of 8 bytes: 8 MB for each 64 languages
 CHUNK = 1 << 20  # characters handled at once
@@ -81,6 +83,7 @@ class LanguageFilters:
         """struct<lang_pred, score>: the language of the largest count and its share of all counts.
 
         Ties go to the smaller name; without a letter the language is ``und`` and the score 0."""
+        small_batches()
         # 8 MB for each 64 languages, whatever the corpus
         shared = SparkSession.getActiveSession().sparkContext.broadcast((self.languages, self.words, self.rates))
 
@@ -118,6 +121,7 @@ def fit(
     ``max_ngrams`` most frequent n-grams are stored. A language contains an n-gram if it shows it ``min_count``
     times and at least ``contrast`` times as often, for its size, as the language that shows it most.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).dropna()
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     languages = tuple(sorted(sizes))

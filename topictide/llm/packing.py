@@ -21,13 +21,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from topictide.llm.common import parts_for, slices, text_of
+from topictide.llm.common import parts_for, slices, small_batches, text_of
 from topictide.session import materialise
 
 END_OF_DOCUMENT = 0
 MAX_TOKENS = 2048
 SHARD_PIECES = 40_000
-MAX_CACHED_WORDS = 400_000  # per task, cleared when full
+MAX_CACHED_WORDS = 200_000  # per task, cleared when full
 
 
 def default_tokenizer() -> str:
@@ -90,6 +90,7 @@ def cut_documents(
     integers. A null text counts as empty (one piece, the closing id). Repeated rows and null ids pass; other columns are not read.
     """
     path = tokenizer_path or default_tokenizer()
+    small_batches(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, end = ByteBpe(path), array("I", [END_OF_DOCUMENT]).tobytes()

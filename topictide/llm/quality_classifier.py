@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from topictide.llm.common import held_out
+from topictide.llm.common import held_out, small_batches
 
 FEATURES = (
     "log_words", "log_word_length", "upper_share", "symbol_share", "pipe_share", "exclamation_share", "digit_share",
@@ -72,6 +72,7 @@ class QuadraticDiscriminant:
     def score(self, text: Column) -> Column:
         """The score of a text column, 0 to 1."""
         scores = self.scores
+        small_batches()
 
         @F.pandas_udf("double")
         def quality_score(texts: pd.Series) -> pd.Series:
@@ -83,6 +84,8 @@ class QuadraticDiscriminant:
 
 
 def features(text: Column) -> Column:
+    small_batches()
+
     @F.pandas_udf("array<double>")
     def text_statistics(texts: pd.Series) -> pd.Series:
         return pd.Series([statistics(t) for t in texts], dtype=object)
