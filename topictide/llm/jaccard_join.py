@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topictide.llm.common import ascii_lower, hash128, keep_rows, slices, text_of
+from topictide.llm.common import ascii_lower, hash128, keep_rows, slices, small_batches, text_of
 from topictide.operators.components import connected_components
 from topictide.session import materialise
 
@@ -32,7 +32,9 @@ SKETCH = 64  # minwise values of a set
 SLACK = 0.15  # sketches this far below the threshold still make a candidate (three standard deviations)
 BUCKET = 400  # larger buckets are split again ...
 MAX_DEPTH = 4  # ... down to this depth and compared in blocks beyond it
-BLOCK = 400
+SKETCH_BLOCK = 2048  # rows of a block of sketches; few blocks mean few roots, hence few edges
+BLOCK = 400  # rows of a block of whole sets
+HASHES = 1 << 20  # shingles compared at once
 _P = np.uint64(0x9E3779B97F4A7C15)
 _Q = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -118,14 +120,19 @@ def _forest(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
         root = new
 
 
-def _similar_sketches(a: np.ndarray, b: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    found_i, found_j = [], []
-    for at in range(0, len(a), 64):
-        share = (a[at : at + 64, None, :] == b[None]).mean(axis=2)
-        i, j = np.nonzero(share >= least)
-        found_i.append(i + at)
-        found_j.append(j)
-    return np.concatenate(found_i), np.concatenate(found_j)
+def _similar_forest(m: np.ndarray, left: np.ndarray, right: np.ndarray, least: float) -> np.ndarray:
+    """Roots of the sketches ``m`` when those of ``left`` are joined with similar ones of ``right``.
+
+    A few rows at a time, and only pairs that are still apart are looked at: nothing grows with the pairs."""
+    root = np.arange(len(m))
+    for at in range(0, len(left), 64):
+        rows = left[at : at + 64]
+        i, j = np.nonzero((m[rows][:, None, :] == m[right][None]).mean(axis=2) >= least)
+        u, v = root[rows[i]], root[right[j]]
+        apart = u != v
+        if apart.any():
+            root = _forest(u[apart], v[apart], len(m))[root]
+    return root
 
 
 def _pairs_of_blocks(df: DataFrame, group: str, size: str, block: int) -> DataFrame:
@@ -161,12 +168,10 @@ def _sketch_forest(least: float):
             m = np.frombuffer(b"".join(g["sketch"]), np.uint32).reshape(len(g), SKETCH)
             a, b = g["a"].iloc[0], g["b"].iloc[0]
             if a == b:
-                i, j = _similar_sketches(m, m, least)
+                left = right = np.arange(len(g))
             else:
                 left, right = np.flatnonzero(g["own"] == a), np.flatnonzero(g["own"] == b)
-                i, j = _similar_sketches(m[left], m[right], least)
-                i, j = left[i], right[j]
-            root = _forest(i, j, len(g))
+            root = _similar_forest(m, left, right, least)
             keys = g["key"].to_numpy()
             moved = np.flatnonzero(root != np.arange(len(g)))
             out.append(pd.DataFrame({"u": keys[root[moved]], "v": keys[moved]}))
@@ -178,20 +183,26 @@ def _sketch_forest(least: float):
 def _links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """(i, j) of all pairs left x right with a Jaccard similarity of at least ``threshold``, from whole sets."""
     sizes = np.array([len(s) for s in sets], np.int64)
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    values, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared = np.cumsum(times > 1) - 1  # only shingles of two sets or more can meet
-    keep = times[column] > 1
-    owner, column = owner[keep], shared[column[keep]]
-    order = np.argsort(column, kind="stable")
-    owner, column = owner[order], column[order]
     inter = np.zeros((len(left), len(right)), np.float32)
-    width = int(column[-1]) + 1 if len(column) else 0
-    for at in range(0, width, 4096):
-        lo, hi = np.searchsorted(column, [at, at + 4096])
-        m = np.zeros((len(sets), min(4096, width - at)), np.float32)
-        m[owner[lo:hi], column[lo:hi] - at] = 1
-        inter += m[left] @ m[right].T
+    # by ranges of hashes, so that memory is bounded however long the texts are
+    parts = int(sizes.sum()) // HASHES + 1
+    bounds = [np.uint64(k * ((1 << 64) // parts)) for k in range(1, parts)]
+    cuts = [np.r_[0, np.searchsorted(s, bounds), len(s)].astype(int) for s in sets] if bounds else [(0, len(s)) for s in sets]
+    for p in range(parts):
+        some = [s[c[p] : c[p + 1]] for s, c in zip(sets, cuts)]
+        owner = np.repeat(np.arange(len(sets)), [len(x) for x in some])
+        _, column, times = np.unique(np.concatenate(some), return_inverse=True, return_counts=True)
+        shared = np.cumsum(times > 1) - 1  # only shingles of two sets or more can meet
+        keep = times[column] > 1
+        owner, column = owner[keep], shared[column[keep]]
+        order = np.argsort(column, kind="stable")
+        owner, column = owner[order], column[order]
+        width = int(column[-1]) + 1 if len(column) else 0
+        for at in range(0, width, 4096):
+            lo, hi = np.searchsorted(column, [at, at + 4096])
+            m = np.zeros((len(sets), min(4096, width - at)), np.float32)
+            m[owner[lo:hi], column[lo:hi] - at] = 1
+            inter += m[left] @ m[right].T
     union = sizes[left][:, None] + sizes[right][None] - inter
     # compared without rounding: counts are exact in float64
     i, j = np.nonzero(inter.astype(np.float64) >= threshold * union - 1e-9)
@@ -269,7 +280,7 @@ def candidate_edges(sets: DataFrame, threshold: float, recall: float) -> DataFra
         counts = level.groupBy("path").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
         met = materialise(level.join(counts, "path").join(sets.select("key", "sketch"), "key"), "met")
         done = met if depth == MAX_DEPTH else met.where(F.col("size") <= BUCKET)
-        dealt = _deal(done, "path", "size", BLOCK, small_tasks)
+        dealt = _deal(done, "path", "size", SKETCH_BLOCK, small_tasks)
         found = dealt.groupBy("task").applyInPandas(_sketch_forest(least), "u binary, v binary")
         edges.append(found.distinct())
         large = met.where(F.col("size") > BUCKET)
@@ -299,6 +310,7 @@ def near_duplicates(
     with A-Z in lower case. Other columns are not read; an empty table gives an empty result.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(F.col(id_col).alias("id"), ascii_lower(text_of(text_col)).alias("text"))
     rows = rows.select("id", "text", hash128(F.col("text")).alias("text_key"))
     kind = rows.schema["id"].dataType.simpleString()
