@@ -110,6 +110,8 @@ def near_copies(n, words=120):
 @pytest.mark.parametrize("block", [400, 16])  # 16: buckets and groups are dealt as pairs of blocks
 def test_near_duplicates_by_brute_force(spark, sf_dir, monkeypatch, block):
     monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "SKETCH_BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "HASHES", 1 << 20 if block == 400 else 64)
     monkeypatch.setattr(jaccard_join, "BUCKET", block)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
     rows = [(r["doc_id"], r["text"]) for r in docs] + [(5000 + k, t) for k, t in enumerate(near_copies(60))]
