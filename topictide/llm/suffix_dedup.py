@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topictide.llm.common import hash128, parts_for, slices, text_of
+from topictide.llm.common import hash128, parts_for, slices, small_batches, text_of
 from topictide.llm.suffix_array import permuted_lcp, suffix_array
 from topictide.llm.url_filter import bloom_blocks, blocks_for, possible
 from topictide.session import materialise
@@ -195,20 +195,24 @@ SPANS = "anchor long, cid binary, start long, stop long"
 
 def _marks(found: DataFrame, level: int = 0) -> list[DataFrame]:
     """(key, start, stop) from contexts; parts for the keys that are split further come from the next level."""
-    different = found.groupBy("anchor", "cid").agg(F.count(F.lit(1)).alias("n"), F.first("bytes").alias("bytes"))
+    # bytes stay where they are: equal contexts are counted by their digest and one place of each is remembered
+    members = found.select("anchor", "cid", "key", "base", F.octet_length("bytes").cast("long").alias("size"))
+    different = members.groupBy("anchor", "cid").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "base")).alias("at"), F.max("size").alias("size")
+    )
     different = materialise(different, "contexts")
     counts = different.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("n_all")).where("n_all > 1")
     counts = materialise(counts, "anchors")
     last = level == len(WIDTHS) - 1
     # copies of a context repeat as a whole
-    whole = different.where("n > 1").select("anchor", "cid", F.lit(0).cast("long").alias("start"), F.octet_length("bytes").cast("long").alias("stop"))
+    whole = different.where("n > 1").select("anchor", "cid", F.lit(0).cast("long").alias("start"), F.col("size").alias("stop"))
     spans = whole
     if not last:
         meeting = different.join(counts.where((F.col("kinds") > 1) & (F.col("kinds") <= HOT)), "anchor")
-        shards = parts_for(counts.where((F.col("kinds") > 1) & (F.col("kinds") <= HOT)).agg(F.sum("kinds")).first()[0] or 0, SHARD)
-        dealt = meeting.withColumn("shard", F.pmod(F.xxhash64("anchor", F.lit("shard")), F.lit(shards)))
-        spans = whole.unionByName(dealt.select("shard", "anchor", "cid", "bytes").groupBy("shard").applyInPandas(_shard, SPANS))
-    members = found.select("anchor", "cid", "key", "base")
+        meeting = materialise(meeting.select("anchor", "cid", "at.key", "at.base"), "meeting")
+        one = found.withColumn("shard", F.pmod(F.xxhash64("anchor", F.lit("shard")), F.lit(parts_for(meeting.count(), SHARD))))
+        one = _only(one, meeting, "key", "base", "anchor").join(meeting, ["anchor", "cid", "key", "base"])
+        spans = whole.unionByName(one.select("shard", "anchor", "cid", "bytes").groupBy("shard").applyInPandas(_shard, SPANS))
     marks = members.join(spans, ["anchor", "cid"]).select("key", (F.col("base") + F.col("start")).alias("start"), (F.col("base") + F.col("stop")).alias("stop"))
     out = [marks]
     hot = counts.where(F.col("kinds") > HOT)
@@ -245,6 +249,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     also in the same text; copies of a text of 400 bytes or more are removed whole. Texts are told apart by their MD5, so repeated
     rows and null ids are rows like others. Only id and text are read; an empty table gives an empty result.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.encode(text_of(text_col), "UTF-8").alias("data"))
     rows = rows.select("id", "data", hash128(F.col("data")).alias("key"))
     kind = rows.schema["id"].dataType.simpleString()
@@ -257,10 +262,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # an anchor counts if it occurs at two places, copies of a text being one place
     place = F.xxhash64("key", "first")
     twice = anchors.groupBy("anchor").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("anchor")
-    wanted = anchors.join(twice, "anchor").groupBy("key").agg(F.collect_set("first").alias("firsts"))
+    twice = materialise(twice, "repeated-anchors")
+    wanted = _only(anchors, twice, "anchor").join(twice, "anchor").groupBy("key").agg(F.collect_set("first").alias("firsts"))
     wanted = materialise(wanted, "wanted-anchors")
 
-    texts = _only(rows.select("key", "data"), wanted).groupBy("key").agg(F.first("data").alias("data"))
+    texts = _only(rows.select("key", "data"), wanted, "key").groupBy("key").agg(F.first("data").alias("data"))
     found = materialise(texts.join(wanted, "key").select("key", "data", "firsts").mapInArrow(_extract, CONTEXT), "text-contexts")
     marks = copies
     for part in _marks(found):
@@ -268,8 +274,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     marks = marks.groupBy("key").agg(F.collect_set(F.struct("start", "stop")).alias("marks"))
     marks = materialise(marks, "text-marks")
 
-    blocks_n = blocks_for(marks.count())
-    probed = possible(rows, "key", bloom_blocks(marks, blocks_n, "key"), blocks_n)
+    probed = _probed(rows, marks, "key")
     touched = probed.where("possible").join(marks, "key", "left").select("id", "data", "marks")
     removed = touched.mapInArrow(_remove_marked, f"id {kind}, n_bytes long, spans array<struct<start:long,stop:long>>, kept binary")
     clean = probed.where("not possible").select(
@@ -279,7 +284,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return removed.unionByName(clean).withColumnRenamed("id", id_col)
 
 
-def _only(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows whose key may be in ``wanted``: a Bloom filter of bounded size spares the others the shuffle."""
+def _probed(rows: DataFrame, wanted: DataFrame, *keys: str) -> DataFrame:
+    """``rows`` with ``possible``, false where the keys are not in ``wanted``: a Bloom filter of bounded size tells
+    most of them apart before any shuffle."""
+    digest = F.xxhash64(*keys)
     n_blocks = blocks_for(wanted.count())
-    return possible(rows, "key", bloom_blocks(wanted, n_blocks, "key"), n_blocks).where("possible").drop("possible")
+    blocks = bloom_blocks(wanted.select(digest.alias("_digest")), n_blocks, "_digest")
+    return possible(rows.withColumn("_digest", digest), "_digest", blocks, n_blocks).drop("_digest")
+
+
+def _only(rows: DataFrame, wanted: DataFrame, *keys: str) -> DataFrame:
+    """Rows whose keys may be in ``wanted``."""
+    return _probed(rows, wanted, *keys).where("possible").drop("possible")
