@@ -136,6 +136,47 @@ def test_recall_of_the_runs():
     assert jaccard_join.runs_needed(0.999, 0.8) > jaccard_join.runs_needed(0.9, 0.8) > 1
 
 
+def sketched_pairs(spark, agreeing, seed):
+    """(key, sketch) of pairs 2i, 2i + 1 whose sketches agree in ``agreeing[i]`` places."""
+    rng = np.random.default_rng(seed)
+    left, right = rng.integers(0, 1 << 32, (2, len(agreeing), jaccard_join.SKETCH), dtype=np.uint32)
+    for i, k in enumerate(agreeing):
+        same = rng.permutation(jaccard_join.SKETCH)[:k]
+        right[i, same] = left[i, same]
+    rows = [(int.to_bytes(2 * i + side, 16), m[i].tobytes()) for i in range(len(agreeing)) for side, m in enumerate((left, right))]
+    return spark.createDataFrame(rows, "key binary, sketch binary").repartition(4)
+
+
+def share_found(sets, recall=0.999):
+    edges = {(int.from_bytes(r["u"]), int.from_bytes(r["v"])) for r in jaccard_join.candidate_edges(sets, 0.8, recall).collect()}
+    return len({u // 2 for u, v in edges if u // 2 == v // 2}) / (sets.count() / 2)
+
+
+def test_pairs_at_the_threshold_are_found_in_split_buckets(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BUCKET", 1)  # as in a crowd: every bucket is split down to the last depth
+    agreeing = np.random.default_rng(3).binomial(jaccard_join.SKETCH, 0.8, 3000)
+    agreeing = agreeing[agreeing >= 42]  # the cut of sketches has a test of its own
+    assert share_found(sketched_pairs(spark, agreeing, 4)) >= 0.998
+
+
+def test_runs_count_every_depth_and_the_spread_of_sketches():
+    def missed(runs, depth):
+        rng, chosen = np.random.default_rng(0), 1 / (0.8 * jaccard_join.SKETCH)
+        shared = rng.binomial(jaccard_join.SKETCH, 0.8, 20_000)
+        apart = np.ones(len(shared), bool)
+        for _ in range(runs):
+            paths = np.ones(len(shared), int)
+            for _ in range(depth):
+                paths = rng.binomial(paths * shared, chosen)
+            apart &= paths == 0
+        return apart.mean()
+
+    for depth in (2, 3, 4):
+        assert missed(jaccard_join.runs_needed(0.99, 0.8, depth), depth) <= 0.0115
+    with pytest.raises(ValueError):
+        jaccard_join.runs_needed(0.999, 0.1)
+
+
 def test_url_rules(spark):
     urls = [None, "", "no scheme/x", "http://NET", "http://net/", "https://a.B.net/x", "x://internet/", "http://example.net/en/1", "http://example.net/en",
             "http://s.example.com/de/?q", "http://example.com?/de/", "http://example.org/fr/a#b", "ftp://org/fr/", "http://ads.example.com/a/?utm_x=1"]

@@ -3,7 +3,8 @@
 Every distinct shingle set gets a minwise sketch. In every run a set follows randomly chosen sketch tokens down a tree: at each level it
 enters the branches of the tokens whose hash, salted with the path so far, falls below a threshold, so that similar
 sets stay together and others part. Buckets that are still large are split again; what is left is compared by sketch, large
-buckets block by block. Runs are repeated until a pair at the threshold is expected to meet with the target recall.
+buckets block by block. Runs are repeated until a pair at the threshold is expected to meet with the target recall; sets that were
+in a bucket too large for the first depth get the further runs that a pair needs to meet again on every level of the splits.
 
 What meets and looks similar forms candidate groups. Inside each the exact Jaccard similarity of all pairs is taken from the whole
 shingle sets, by matrix products over shared shingles, and only sums leave a block: the links of each set and a spanning forest.
@@ -31,6 +32,7 @@ THRESHOLD = 0.8
 SKETCH = 64  # minwise values of a set
 SLACK = 0.15  # sketches this far below the threshold still make a candidate (three standard deviations)
 BUCKET = 400  # larger buckets are split again ...
+FIRST_DEPTH = 2  # levels before buckets are looked at
 MAX_DEPTH = 4  # ... down to this depth and compared in blocks beyond it
 SKETCH_BLOCK = 2048  # rows of a block of sketches; few blocks mean few roots, hence few edges
 BLOCK = 400  # rows of a block of whole sets
@@ -81,14 +83,34 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
     return (low >> np.uint64(32)).astype(np.uint32)
 
 
-def runs_needed(recall: float, threshold: float, depth: int = 2) -> int:
-    """Runs after which a pair at the threshold has met with probability ``recall``.
+def _choice(threshold: float) -> float:
+    """Probability that a path follows a token."""
+    return min(1.0, 1 / (threshold * SKETCH))
 
-    On each level a pair shares a Poisson number of chosen tokens with mean 1 (similarity over threshold)."""
-    meet = 1.0
-    for _ in range(depth):
-        meet = 1 - math.exp(-meet)
-    return math.ceil(math.log(1 - recall) / math.log(1 - meet))
+
+def _agreeing(threshold: float) -> list[float]:
+    """Probabilities that the sketches of a pair at the threshold agree in 0, 1, ... places."""
+    return [math.comb(SKETCH, k) * threshold**k * (1 - threshold) ** (SKETCH - k) for k in range(SKETCH + 1)]
+
+
+def runs_needed(recall: float, threshold: float, depth: int = FIRST_DEPTH) -> int:
+    """Runs after which a pair at the threshold has met in a bucket of ``depth`` with probability ``recall``.
+
+    Both follow a token that they share with probability ``_choice``, on each level anew; how many they share is the same in
+    every run, so the runs that miss are averaged over it."""
+    shares = _agreeing(threshold)
+    if 1 - recall <= shares[0]:
+        raise ValueError(f"sketches of {SKETCH} values cannot give a recall of {recall} at a threshold of {threshold}")
+    apart = []
+    for k in range(SKETCH + 1):
+        meet = 1.0
+        for _ in range(depth):
+            meet = 1 - (1 - _choice(threshold) * meet) ** k
+        apart.append(1 - meet)
+    runs = 1
+    while sum(share * a**runs for share, a in zip(shares, apart)) > 1 - recall:
+        runs += 1
+    return runs
 
 
 def _tokens(sketches: np.ndarray) -> np.ndarray:
@@ -99,7 +121,7 @@ def _tokens(sketches: np.ndarray) -> np.ndarray:
 def _step(paths: np.ndarray, tokens: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """(row, new path) of every token that row ``i``, on ``paths[i]``, follows."""
     h = _mix(tokens ^ _mix(paths)[:, None])
-    limit = np.uint64(min(1.0, 1 / (threshold * SKETCH)) * 2.0**64 * (1 - 2**-53))
+    limit = np.uint64(_choice(threshold) * 2.0**64 * (1 - 2**-53))
     row, token = np.nonzero(h < limit)
     return row, _mix(h[row, token] + _P)
 
@@ -252,20 +274,19 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*kept, found], names=["key", "component", "size", "copies", "hashes"])
 
 
-def candidate_edges(sets: DataFrame, threshold: float, recall: float) -> DataFrame:
-    """(u, v): a forest over the sets (key, sketch) that met in a bucket with similar sketches."""
-    runs = runs_needed(recall, threshold)
-    least = threshold - SLACK
-    starts = _seeds(3, runs)
+def _descend(sets: DataFrame, starts: np.ndarray, threshold: float, least: float) -> tuple[DataFrame, DataFrame]:
+    """One run from each of ``starts``: the edges found, and the keys of sets in buckets that were split."""
 
     def first_levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1 << 20):
             keys = batch.column("key")
             tokens = _tokens(np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint32).reshape(-1, SKETCH))
             for start in starts:
-                row, path = _step(np.full(len(tokens), start), tokens, threshold)
-                again, path = _step(path, tokens[row], threshold)
-                yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), keys.take(pa.array(row[again]))], names=["path", "key"])
+                row, path = np.arange(len(tokens)), np.full(len(tokens), start)
+                for _ in range(FIRST_DEPTH):
+                    again, path = _step(path, tokens[row], threshold)
+                    row = row[again]
+                yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), keys.take(pa.array(row))], names=["path", "key"])
 
     def next_level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1 << 20):
@@ -274,9 +295,9 @@ def candidate_edges(sets: DataFrame, threshold: float, recall: float) -> DataFra
             yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), batch.column("key").take(pa.array(row))], names=["path", "key"])
 
     small_tasks = 64 * max(1, sets.sparkSession.sparkContext.defaultParallelism)
-    edges = []
+    edges, split = [], None
     level = materialise(sets.select("key", "sketch").mapInArrow(first_levels, "path long, key binary").distinct(), "paths")
-    for depth in range(2, MAX_DEPTH + 1):
+    for depth in range(FIRST_DEPTH, MAX_DEPTH + 1):
         counts = level.groupBy("path").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
         met = materialise(level.join(counts, "path").join(sets.select("key", "sketch"), "key"), "met")
         done = met if depth == MAX_DEPTH else met.where(F.col("size") <= BUCKET)
@@ -284,13 +305,31 @@ def candidate_edges(sets: DataFrame, threshold: float, recall: float) -> DataFra
         found = dealt.groupBy("task").applyInPandas(_sketch_forest(least), "u binary, v binary")
         edges.append(found.distinct())
         large = met.where(F.col("size") > BUCKET)
+        if split is None:
+            split = large.select("key").distinct()
         if depth == MAX_DEPTH or large.isEmpty():
             break
         level = materialise(large.select("path", "key", "sketch").mapInArrow(next_level, "path long, key binary").distinct(), "paths")
     out = edges[0]
     for e in edges[1:]:
         out = out.unionByName(e)
-    return out
+    return out, split
+
+
+def candidate_edges(sets: DataFrame, threshold: float, recall: float) -> DataFrame:
+    """(u, v): a forest over the sets (key, sketch) that met in a bucket with similar sketches.
+
+    A pair is lost if it never meets at the first depth in the first runs, or if its buckets there were split and it never meets
+    at the last depth in all runs: half of what the recall allows goes to either. Only sets of split buckets need the further runs."""
+    half = (1 + recall) / 2
+    first = runs_needed(half, threshold)
+    starts = _seeds(3, max(first, runs_needed(half, threshold, MAX_DEPTH)))
+    least = threshold - SLACK
+    edges, split = _descend(sets, starts[:first], threshold, least)
+    if len(starts) == first or split.isEmpty():
+        return edges
+    crowded = materialise(sets.select("key", "sketch").join(split, "key", "left_semi"), "crowded")
+    return edges.unionByName(_descend(crowded, starts[first:], threshold, least)[0])
 
 
 def near_duplicates(
