@@ -159,6 +159,15 @@ def test_pairs_at_the_threshold_are_found_in_split_buckets(spark, monkeypatch):
     assert share_found(sketched_pairs(spark, agreeing, 4)) >= 0.998
 
 
+def test_pairs_with_less_similar_sketches_are_found(spark):
+    # at a similarity of 0.8 sketches agree in fewer than 42 of 64 places in 0.2 % of pairs
+    assert share_found(sketched_pairs(spark, [38, 39, 40, 41] * 75, 5)) >= 0.97
+    allowed = sum(jaccard_join._agreeing(0.8)[: jaccard_join.least_agreeing(0.999, 0.8)])
+    assert allowed <= 0.0001 and jaccard_join.runs_needed(0.999, 0.8, least=38) >= jaccard_join.runs_needed(0.999, 0.8)
+    with pytest.raises(ValueError):
+        jaccard_join.runs_needed(0.999, 0.8, least=42)
+
+
 def test_runs_count_every_depth_and_the_spread_of_sketches():
     def missed(runs, depth):
         rng, chosen = np.random.default_rng(0), 1 / (0.8 * jaccard_join.SKETCH)

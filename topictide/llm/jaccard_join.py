@@ -30,7 +30,6 @@ from topictide.session import materialise
 WORDS_PER_SHINGLE = 5
 THRESHOLD = 0.8
 SKETCH = 64  # minwise values of a set
-SLACK = 0.15  # sketches this far below the threshold still make a candidate (three standard deviations)
 BUCKET = 400  # larger buckets are split again ...
 FIRST_DEPTH = 2  # levels before buckets are looked at
 MAX_DEPTH = 4  # ... down to this depth and compared in blocks beyond it
@@ -93,20 +92,31 @@ def _agreeing(threshold: float) -> list[float]:
     return [math.comb(SKETCH, k) * threshold**k * (1 - threshold) ** (SKETCH - k) for k in range(SKETCH + 1)]
 
 
-def runs_needed(recall: float, threshold: float, depth: int = FIRST_DEPTH) -> int:
-    """Runs after which a pair at the threshold has met in a bucket of ``depth`` with probability ``recall``.
+def least_agreeing(recall: float, threshold: float) -> int:
+    """Places in which sketches must agree to make a candidate: pairs at the threshold stay below it with at most a tenth of the
+    probability with which ``recall`` lets them be lost. No number of runs brings these back."""
+    shares = _agreeing(threshold)
+    least = 0
+    while sum(shares[: least + 1]) <= (1 - recall) / 10:
+        least += 1
+    return least
+
+
+def runs_needed(recall: float, threshold: float, depth: int = FIRST_DEPTH, least: int = 0) -> int:
+    """Runs after which a pair at the threshold has met in a bucket of ``depth``, with sketches that agree in ``least`` places
+    or more, with probability ``recall``.
 
     Both follow a token that they share with probability ``_choice``, on each level anew; how many they share is the same in
     every run, so the runs that miss are averaged over it."""
     shares = _agreeing(threshold)
-    if 1 - recall <= shares[0]:
+    if 1 - recall <= sum(shares[: max(1, least)]):
         raise ValueError(f"sketches of {SKETCH} values cannot give a recall of {recall} at a threshold of {threshold}")
     apart = []
     for k in range(SKETCH + 1):
         meet = 1.0
         for _ in range(depth):
             meet = 1 - (1 - _choice(threshold) * meet) ** k
-        apart.append(1 - meet)
+        apart.append(1 - meet if k >= least else 1.0)
     runs = 1
     while sum(share * a**runs for share, a in zip(shares, apart)) > 1 - recall:
         runs += 1
@@ -320,11 +330,12 @@ def candidate_edges(sets: DataFrame, threshold: float, recall: float) -> DataFra
     """(u, v): a forest over the sets (key, sketch) that met in a bucket with similar sketches.
 
     A pair is lost if it never meets at the first depth in the first runs, or if its buckets there were split and it never meets
-    at the last depth in all runs: half of what the recall allows goes to either. Only sets of split buckets need the further runs."""
-    half = (1 + recall) / 2
-    first = runs_needed(half, threshold)
-    starts = _seeds(3, max(first, runs_needed(half, threshold, MAX_DEPTH)))
-    least = threshold - SLACK
+    at the last depth in all runs: half of what the recall allows goes to either, pairs whose sketches agree too little included.
+    Only sets of split buckets need the further runs."""
+    half, agreeing = (1 + recall) / 2, least_agreeing(recall, threshold)
+    first = runs_needed(half, threshold, least=agreeing)
+    starts = _seeds(3, max(first, runs_needed(half, threshold, MAX_DEPTH, agreeing)))
+    least = agreeing / SKETCH
     edges, split = _descend(sets, starts[:first], threshold, least)
     if len(starts) == first or split.isEmpty():
         return edges
