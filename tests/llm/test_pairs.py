@@ -250,4 +250,4 @@ def test_pipeline_stages(spark, sf_dir):
 
 
 def test_queries_are_registered():
-    assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in Q.QUERIES)] == []
+    assert [n for n in range(1, 14) if not any(q.startswith(f"op{n}_") for q in Q.QUERIES)] == []

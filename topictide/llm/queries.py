@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topictide.llm import chat_format as chat
+from topictide.llm import decontamination as leaks
 from topictide.llm import exact_dedup as exact
+from topictide.llm import fill_middle as middles
 from topictide.llm import jaccard_join as jaccard
 from topictide.llm import language_id as language
 from topictide.llm import mixing, packing
@@ -14,6 +16,7 @@ from topictide.llm import quality_classifier as quality
 from topictide.llm import quality_rules as rules
 from topictide.llm import suffix_dedup as suffixes
 from topictide.llm import url_filter as urls
+from topictide.llm import whitening
 from topictide.llm.common import held_out, table
 
 
@@ -83,6 +86,32 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_chat(rows.unionByName(extra)))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = middles.restore(middles.fill_middle(table(spark, sf_dir, "documents")))
+    digests = [F.sha2(c, 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+def op12_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = leaks.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    pairs = F.posexplode(F.arrays_zip("whitened", "values")).alias("at", "c")
+    rows = rows.select("vec_id", "n", "deviation", "trace", "identity_error", pairs)
+    return rows.select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        "n",
+        "deviation",
+        F.col("c.whitened").alias("whitened"),
+        (F.col("c.values") / F.col("trace")).alias("explained"),
+        "identity_error",
+    )
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -94,4 +123,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_benchmark_decontamination": op12_benchmark_decontamination,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }

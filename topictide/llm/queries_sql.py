@@ -58,12 +58,45 @@ l AS (SELECT conv_id, string_agg(CASE WHEN role = 'assistant' THEN text ELSE ''
 SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(taught) AS loss_chars, sha256(taught) AS loss_sha256, formatted_chars FROM l
 """
 
+OP11 = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || doc_id) AS h FROM documents),
+l AS (SELECT *, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS l FROM d),
+n AS (SELECT *, len(l) AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+        ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM l),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+             WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM n),
+p AS (SELECT *, array_to_string(l[1:a], '') AS prefix, array_to_string(l[a + 1:b], '') AS middle, array_to_string(l[b + 1:n], '') AS suffix FROM c)
+SELECT doc_id, n::BIGINT AS n, form,
+  CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+         ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM p
+"""
+
+OP12 = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (SELECT item_id, w, least(len(w), 10) AS k FROM (SELECT item_id,
+        regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark) WHERE len(w) > 0),
+b AS (SELECT DISTINCT item_id, k, array_to_string(w[pos:pos + k - 1], ' ') AS win FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS pos FROM i)),
+x AS (SELECT rid, k, pos, array_to_string(w[pos:pos + k - 1], ' ') AS win
+      FROM (SELECT rid, w, k, unnest(range(1, len(w) - k + 2)) AS pos FROM d, (SELECT DISTINCT k FROM b) WHERE len(w) >= k)),
+o AS (SELECT rid, pos, k, item_id FROM x JOIN b USING (k, win)),
+h AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(pos, pos + k)) AS p FROM o) GROUP BY rid),
+s AS (SELECT rid, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS sha FROM (SELECT DISTINCT rid, item_id::VARCHAR AS item FROM o) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  coalesce(sha, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (rid) LEFT JOIN s USING (rid)
+"""
+
 
 def _oracle() -> dict[str, str]:
     from topictide.llm.quality_rules import STOP_WORDS
 
     stop = ", ".join(f"'{w}'" for w in STOP_WORDS)
-    return {"op5_url_filter": OP5, "op10_chat_formatting": OP10, "op8_exact_dedup": OP8, "op9_quality_rules": OP9.replace("{stop}", stop)}
+    return {"op5_url_filter": OP5, "op10_chat_formatting": OP10, "op8_exact_dedup": OP8, "op9_quality_rules": OP9.replace("{stop}", stop), "op11_fill_in_middle": OP11, "op12_benchmark_decontamination": OP12}
 
 
 ORACLE = _oracle()
