@@ -21,6 +21,7 @@ from topictide.session import materialise
 
 # Words are runs of ASCII digits, ASCII letters and everything beyond ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+NO_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW = 10
 MAX_BROADCAST = 1_000_000  # rows: at ten words of usual length some 150 MB of windows, and less of hashes
 
@@ -29,22 +30,22 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
 
 
-def _grams(rows: DataFrame, width: int, step: int) -> DataFrame:
-    """One row (.., at, gram) for the run of ``width`` words that starts at every ``step``-th of ``words``; gram is its hash.
+def lower_words(text: Column) -> Column:
+    """Words with A-Z in lower case."""
+    return F.array_remove(F.split(ascii_lower(text), NO_WORD), "")
 
-    The outer form keeps Spark from building the runs a second time to see whether there are any."""
-    last = F.size("words") - width
+
+def _grams(words: Column, width: int, step: int) -> Column:
+    """Hashes of the runs of ``width`` words that start at every ``step``-th word."""
+    last = F.size(words) - width
     starts = F.when(last >= 0, F.sequence(F.lit(0), last, F.lit(step))).otherwise(F.array().cast("array<int>"))
-    gram = lambda i: F.xxhash64(F.array_join(F.slice("words", i + 1, F.lit(width)), " "))
-    runs = F.transform(starts, lambda i: F.struct(i.alias("at"), gram(i).alias("gram")))
-    rest = [c for c in rows.columns if c != "words"]
-    return rows.select(*rest, F.explode_outer(runs).alias("r")).where(F.col("r").isNotNull()).select(*rest, "r.at", "r.gram")
+    return F.transform(starts, lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(width)]))
 
 
 def benchmark_windows(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> tuple[DataFrame, DataFrame]:
     """(window, width, origin) of every different window, and (origin, items): items that share all of a window."""
     items = benchmark.select(
-        F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item"), words_of(ascii_lower(text_of(text_col))).alias("words")
+        F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item"), lower_words(text_of(text_col)).alias("words")
     ).where(F.size("words") > 0)
     width = F.least(F.size("words"), F.lit(window))
     starts = F.sequence(F.lit(1), F.size("words") - width + 1)
@@ -60,17 +61,58 @@ def _within(df: DataFrame, rows: int, most: int) -> DataFrame:
     return F.broadcast(df) if rows <= most else df
 
 
-def _hits(rows: DataFrame, windows: DataFrame, max_broadcast: int) -> DataFrame:
-    """(key, width, at): aligned blocks of texts that are in the set of benchmark runs."""
+def _scan(rows: DataFrame, windows: DataFrame, max_broadcast: int) -> tuple[DataFrame, DataFrame]:
+    """(id, key, n_words) of all rows and (key, width, at) of the aligned blocks that are in the set of benchmark runs.
+
+    Texts are read once: the hashes of their blocks, eight bytes for every five words, are written and then looked up."""
+    widths = sorted(r["width"] for r in windows.select("width").distinct().collect())  # at most as many as a window has words
+    blocks = {w: (w + 1) // 2 for w in widths}
+    worded = rows.select("id", "key", lower_words(F.col("text")).alias("words"))
+    sizes = sorted(set(blocks.values()))
+    scanned = worded.select(
+        "id", "key", F.size("words").cast("long").alias("n_words"), *[_grams(F.col("words"), b, b).alias(f"grams{b}") for b in sizes]
+    )
+    scanned = materialise(scanned, "scanned")
     found = None
-    for (width,) in sorted(windows.select("width").distinct().collect()):  # at most as many as a window has words
-        block = (width + 1) // 2
+    for width in widths:
+        block = blocks[width]
         runs = windows.where(F.col("width") == width).select(F.split("window", " ").alias("words"))
-        known = materialise(_grams(runs, block, 1).select("gram").distinct(), "grams")
-        hits = _grams(rows, block, block).join(_within(known, known.count(), max_broadcast), "gram", "left_semi")
-        hits = hits.select("key", F.lit(width).alias("width"), "at")
+        known = materialise(runs.select(F.explode(_grams(F.col("words"), block, 1)).alias("gram")).distinct(), "grams")
+        hits = scanned.select("key", F.posexplode(f"grams{block}").alias("at", "gram"))
+        hits = hits.join(_within(known, known.count(), max_broadcast), "gram", "left_semi")
+        hits = hits.select("key", F.lit(width).alias("width"), (F.col("at") * block).alias("at"))
         found = hits if found is None else found.unionByName(hits)
-    return found
+    if found is None:
+        found = rows.select("key", F.lit(0).alias("width"), F.lit(0).alias("at")).limit(0)
+    return scanned.select("id", "key", "n_words"), found
+
+
+def _occurrences(rows: DataFrame, hits: DataFrame, windows: DataFrame, n_windows: int, max_broadcast: int) -> DataFrame:
+    """(key, span, origin) of every place where a window stands, words compared one by one."""
+    around = materialise(hits.groupBy("key").agg(F.collect_set(F.struct("width", "at")).alias("around")), "hit-blocks")
+    touched = only(rows.select("key", "text"), around, "key").join(around, "key")
+    touched = touched.groupBy("key").agg(F.first("text").alias("text"), F.first("around").alias("around"))
+    touched = touched.select("key", "around", lower_words(F.col("text")).alias("words"))
+    block = lambda h: F.floor((h["width"] + 1) / 2).cast("int")
+    # a window over the block at `at` starts in the last width - block words before it
+    starts = F.transform(
+        "around",
+        lambda h: F.transform(
+            F.sequence(F.greatest(h["at"] + block(h) - h["width"], F.lit(0)), h["at"]),
+            lambda i: F.struct(h["width"].alias("width"), i.alias("start")),
+        ),
+    )
+    touched = touched.select("key", "words", F.array_distinct(F.flatten(starts)).alias("starts"))
+    tried = F.transform(
+        F.filter("starts", lambda s: s["start"] + s["width"] <= F.size("words")),
+        lambda s: F.struct(
+            s["start"].alias("start"), s["width"].alias("width"), F.array_join(F.slice("words", s["start"] + 1, s["width"]), " ").alias("window")
+        ),
+    )
+    # written before it is exploded, so that no row carries the words of its text
+    tried = materialise(touched.select("key", tried.alias("tried")), "tried").select("key", F.explode("tried").alias("t")).select("key", "t.*")
+    met = tried.join(_within(windows, n_windows, max_broadcast), ["window", "width"])
+    return met.select("key", F.struct("start", (F.col("start") + F.col("width")).alias("stop")).alias("span"), "origin")
 
 
 def _merged(spans: Column) -> Column:
@@ -105,51 +147,25 @@ def find_contamination(
     ``spans`` are the maximal runs of words (start, stop; from 0) inside occurrences of windows, ``n_hit`` their words. Words are
     compared with A-Z in lower case; a null text has none. ``n_items`` counts the items of which a window occurs and ``items_sha256`` digests
     their sorted, comma-joined ids (SHA-256 of nothing if there are none). Rows of the benchmark with one id are one item, a null id is
-    an empty one. ``key`` is the MD5 of the lower-cased text: repeated texts are compared once, repeated ids and null
+    an empty one. ``key`` is the MD5 of the text: repeated texts are compared once, repeated ids and null
     ids are rows like others. Only the named columns are read; an empty table on either side gives no hit.
     """
-    rows = docs.select(F.col(id_col).alias("id"), ascii_lower(text_of(text_col)).alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     rows = rows.select("id", "text", hash128(F.col("text")).alias("key"))
     windows, origins = benchmark_windows(benchmark, item_col, item_text_col, window)
-    n_windows = windows.count()
-    lean = rows.select("id", "key", F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
-    if not n_windows:
-        per_text = None
-    else:
-        hits = _hits(rows.select("key", words_of(F.col("text")).alias("words")), windows, max_broadcast)
-        around = hits.groupBy("key").agg(F.collect_set(F.struct("width", "at")).alias("around"))
-        around = materialise(around, "hit-blocks")
-        touched = only(rows.select("key", "text"), around, "key").join(around, "key").groupBy("key").agg(F.first("text").alias("text"), F.first("around").alias("around"))
-        touched = touched.select("key", "around", words_of(F.col("text")).alias("words"))
-        # a window over the block at `at` starts in the last width - block words before it
-        block = lambda h: F.floor((h["width"] + 1) / 2).cast("int")
-        starts = F.transform(
-            "around",
-            lambda h: F.transform(
-                F.sequence(F.greatest(h["at"] + block(h) - h["width"], F.lit(0)), h["at"]),
-                lambda i: F.struct(h["width"].alias("width"), i.alias("start")),
-            ),
-        )
-        tried = touched.select("key", "words", F.explode(F.array_distinct(F.flatten(starts))).alias("s"))
-        tried = tried.where(F.col("s.start") + F.col("s.width") <= F.size("words")).select(
-            "key", "s.start", "s.width", F.array_join(F.slice("words", F.col("s.start") + 1, F.col("s.width")), " ").alias("window")
-        )
-        met = tried.join(_within(windows, n_windows, max_broadcast), ["window", "width"])
-        met = met.select("key", F.struct("start", (F.col("start") + F.col("width")).alias("stop")).alias("span"), "origin")
-        per_text = met.groupBy("key").agg(
-            _merged(F.array_sort(F.collect_set("span"))).alias("spans"), F.array_sort(F.collect_set("origin")).alias("origins")
-        )
-        per_text = materialise(per_text.withColumn("mix", hash128(F.array_join(F.transform("origins", F.hex), ","))), "contaminated")
-        # texts hit by the same origins share their items
-        mixes = per_text.groupBy("mix").agg(F.first("origins").alias("origins"))
-        items = mixes.select("mix", F.explode("origins").alias("origin")).join(origins, "origin").select("mix", F.explode("items").alias("item"))
-        items = items.groupBy("mix").agg(F.array_sort(F.collect_set("item")).alias("items"))
-        items = items.select("mix", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"))
-        per_text = per_text.join(items, "mix").select("key", "spans", "n_items", "items_sha256")
+    lean, hits = _scan(rows, windows, max_broadcast)
+    met = _occurrences(rows, hits, windows, windows.count(), max_broadcast)
+    per_text = met.groupBy("key").agg(
+        _merged(F.array_sort(F.collect_set("span"))).alias("spans"), F.array_sort(F.collect_set("origin")).alias("origins")
+    )
+    per_text = materialise(per_text.withColumn("mix", hash128(F.array_join(F.transform("origins", F.hex), ","))), "contaminated")
+    # texts hit by the same origins share their items
+    mixes = per_text.groupBy("mix").agg(F.first("origins").alias("origins"))
+    items = mixes.select("mix", F.explode("origins").alias("origin")).join(origins, "origin").select("mix", F.explode("items").alias("item"))
+    items = items.groupBy("mix").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    items = items.select("mix", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"))
+    per_text = per_text.join(items, "mix").select("key", "spans", "n_items", "items_sha256")
     kind = "array<struct<start:int,stop:int>>"
-    if per_text is None:
-        none = docs.sparkSession.createDataFrame([], f"key binary, spans {kind}, n_items long, items_sha256 string")
-        per_text = none
     spans = F.coalesce("spans", F.array().cast(kind))
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
     joined = lean.join(per_text, "key", "left").withColumn("spans", spans)
@@ -182,12 +198,12 @@ def decontaminate(
 ) -> DataFrame:
     """``docs``, all columns, without contaminated documents or (``remove="spans"``) with the hit words taken out of their texts.
 
-    Rows are matched by the MD5 of their lower-cased text, so copies fare alike; see ``find_contamination`` for the rest."""
+    Rows are matched by the MD5 of their text, so copies fare alike; see ``find_contamination`` for the rest."""
     if remove not in ("documents", "spans"):
         raise ValueError("remove is documents or spans")
     found = find_contamination(docs, benchmark, id_col, text_col, **settings).where("contaminated")
     found = found.select(F.col("key").alias("_key"), F.col("spans").alias("_spans")).dropDuplicates(["_key"])
-    rows = docs.select(F.struct("*").alias("_row"), hash128(ascii_lower(text_of(text_col))).alias("_key"))
+    rows = docs.select(F.struct("*").alias("_row"), hash128(text_of(text_col)).alias("_key"))
     if remove == "documents":
         return rows.join(found.select("_key"), "_key", "left_anti").select("_row.*")
     text = F.col("_row").getField(text_col)
