@@ -6,11 +6,17 @@ Topic tables hold a few rows per topic; the document side is always aggregated b
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from topictide.operators.agglomerate import merged_topics
 from topictide.operators.keywords import exploded, rounded
 from topictide.operators.ranking import top_n
+from topictide.session import materialise
 
 NOISE = -1
 TOP_WORDS = 10
@@ -53,9 +59,9 @@ def attach_topics(bag: DataFrame, doc_topics: DataFrame) -> DataFrame:
 
 def class_frequencies(bag: DataFrame) -> DataFrame:
     """(slice, topic, term, tf): term counts of a topic taken as one document."""
-    return (
-        exploded(bag, "slice", "topic").groupBy("slice", "topic", "term").agg(F.sum("tf").alias("tf"))
-    )
+    # null keys go before the grouping: joins would add the test to some branches only and so keep them from sharing it
+    known = bag.where(F.col("slice").isNotNull() & F.col("topic").isNotNull())
+    return exploded(known, "slice", "topic").groupBy("slice", "topic", "term").agg(F.sum("tf").alias("tf"))
 
 
 def class_tfidf(bag: DataFrame) -> DataFrame:
@@ -153,27 +159,87 @@ def topic_cosines(weights: DataFrame, centers: DataFrame) -> DataFrame:
     )
 
 
-def document_topics(weights: DataFrame, doc_topics: DataFrame, temperature: float = MEMBERSHIP_TEMPERATURE) -> DataFrame:
+def _met_by_join(weights: DataFrame, centers: DataFrame, temperature: float) -> DataFrame:
+    """(slice, doc_id, _sum, _best, _met) from one row for every document and topic that share a term."""
+    return (
+        topic_cosines(weights, centers)
+        .groupBy("slice", "doc_id")
+        .agg(
+            F.sum(F.exp(F.col("cosine") / temperature)).alias("_sum"),
+            F.max("cosine").alias("_best"),
+            F.count("*").alias("_met"),
+        )
+    )
+
+
+def _met_by_document(weights: DataFrame, centers: DataFrame, temperature: float) -> DataFrame:
+    """The same from whole documents and all centroids, which are sent to every task: products are added up where the document is."""
+    rows = centers.select(F.unix_micros("slice").alias("slice"), "term", "topic", "c").toPandas().sort_values(["slice", "term"], kind="stable")
+    tables = {}
+    for start, own in rows.groupby("slice", sort=False):
+        terms = own["term"].to_numpy()
+        first = np.flatnonzero(np.r_[True, terms[1:] != terms[:-1]])
+        topics, topic = np.unique(own["topic"].to_numpy(), return_inverse=True)
+        place = {t: i for i, t in enumerate(terms[first])}
+        tables[int(start)] = (place, np.r_[first, len(terms)], topic, own["c"].to_numpy(), len(topics))
+    shared = weights.sparkSession.sparkContext.broadcast(tables)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            micros = batch.column("micros").to_numpy()
+            entries = batch.column("v")
+            sizes = np.diff(entries.offsets.to_numpy())
+            flat = entries.flatten()
+            words = flat.field("term").dictionary_encode()
+            owner, w = np.repeat(np.arange(len(sizes)), sizes), flat.field("weight").to_numpy()
+            code, known = words.indices.to_numpy(), words.dictionary.to_pylist()
+            out = np.zeros((3, len(sizes)))
+            for start in np.unique(micros):
+                if int(start) not in shared.value:
+                    continue
+                place, bounds, topic, c, k = shared.value[int(start)]
+                docs = np.flatnonzero(micros == start)
+                row = np.array([place.get(t, -1) for t in known])[code]
+                at = np.flatnonzero((micros[owner] == start) & (row >= 0))
+                n = bounds[row[at] + 1] - bounds[row[at]]
+                posting = np.repeat(bounds[row[at]], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+                local = np.searchsorted(docs, owner[at])
+                key = np.repeat(local, n) * k + topic[posting]
+                cosines = np.bincount(key, weights=np.repeat(w[at], n) * c[posting], minlength=len(docs) * k).reshape(-1, k)
+                met = np.bincount(key, minlength=len(docs) * k).reshape(-1, k) > 0
+                out[0, docs] = np.where(met, np.exp(cosines / temperature), 0).sum(axis=1)
+                out[1, docs] = np.where(met, cosines, 0).max(axis=1, initial=0)
+                out[2, docs] = met.sum(axis=1)
+            columns = [batch.column("slice"), batch.column("doc_id"), pa.array(out[0]), pa.array(out[1]), pa.array(out[2].astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["slice", "doc_id", "_sum", "_best", "_met"])
+
+    whole = weights.groupBy("slice", "doc_id").agg(F.collect_list(F.struct("term", "weight")).alias("v"))
+    kind = whole.schema["doc_id"].dataType.simpleString()
+    rows = whole.select("slice", "doc_id", F.unix_micros("slice").alias("micros"), "v")
+    return rows.mapInArrow(meet, f"slice timestamp, doc_id {kind}, _sum double, _best double, _met long")
+
+
+# Rows of a table of centroids (slice, topic, term, c) up to which it is sent to every task (some 100 MB).
+CENTROID_ROWS = 1_000_000
+
+
+def document_topics(
+    weights: DataFrame, doc_topics: DataFrame, temperature: float = MEMBERSHIP_TEMPERATURE, centroid_rows: int = CENTROID_ROWS
+) -> DataFrame:
     """(slice, doc_id, topic, probability): labels with the largest topic membership.
 
     Memberships are the softmax of the cosines to the topic centroids of the slice. Topics
     that share no term with a document have cosine 0; they enter the sum by their number and are never
-    paired with it. Without any topic in the slice the probability is null.
+    paired with it. Without any topic in the slice the probability is null. Up to ``centroid_rows`` rows of centroids go to the
+    documents; more are joined with them by term.
     """
     labels = doc_topics.select("slice", "doc_id", "topic")
-    centers = centroids(weights, labels)
+    centers = materialise(centroids(weights, labels), "centroids")
     n_topics = (
         labels.where(F.col("topic") != NOISE).groupBy("slice").agg(F.count_distinct("topic").alias("_k"))
     )
-    met = (
-        topic_cosines(weights, centers)
-        .groupBy("slice", "doc_id")
-        .agg(
-            F.sum(F.exp(F.col("cosine") / temperature)).alias("_sum"),
-            F.max("cosine").alias("_best"),
-            F.count("*").alias("_met"),
-        )
-    )
+    meet = _met_by_document if centers.count() <= centroid_rows else _met_by_join
+    met = meet(weights, centers, temperature)
     unmet = F.col("_k") - F.coalesce("_met", F.lit(0))
     total = F.coalesce("_sum", F.lit(0.0)) + unmet
     # cosines of non-negative vectors are never below that of an unmet topic
@@ -185,43 +251,18 @@ def document_topics(weights: DataFrame, doc_topics: DataFrame, temperature: floa
     )
 
 
-def topic_merges(weights: DataFrame, doc_topics: DataFrame, n_topics: int) -> DataFrame:
-    """(slice, topic, new_topic): every topic beyond the ``n_topics`` largest of its slice,
-    with that of the largest whose centroid is closest (the smaller id on ties)."""
-    centers = centroids(weights, doc_topics)
-    kept = centers.where(F.col("topic") < n_topics).select(
-        "slice", "term", F.col("topic").alias("new_topic"), F.col("c").alias("_kept")
-    )
-    rest = centers.where(F.col("topic") >= n_topics)
-    sims = (
-        rest.join(kept, ["slice", "term"])
-        .groupBy("slice", "topic", "new_topic")
-        .agg(F.sum(F.col("c") * F.col("_kept")).alias("_cosine"))
-    )
-    order = [rounded(F.col("_cosine")).desc(), F.col("new_topic").asc()]
-    nearest = top_n(sims, ["slice", "topic"], order, 1, "_rank").select("slice", "topic", "new_topic")
-    # a topic sharing no term with any kept one goes to topic 0
-    return (
-        rest.select("slice", "topic")
-        .distinct()
-        .join(nearest, ["slice", "topic"], "left")
-        .select("slice", "topic", F.coalesce("new_topic", F.lit(0)).alias("new_topic"))
-    )
-
-
 def reduce_topics(weights: DataFrame, doc_topics: DataFrame, n_topics: int | None) -> DataFrame:
     """(slice, doc_id, topic) with at most ``n_topics`` topics per slice, renumbered by size.
 
-    Topics must be numbered by size (see ``number_topics``). The largest ones stay and
-    absorb the others in one pass, so the cost is topics * n_topics and never topics squared. ``None`` means no
-    reduction; noise stays noise.
+    The closest two topics are merged, by average linkage of their centroids, until ``n_topics`` are left. ``None`` means no
+    reduction; noise stays noise. A topic none of whose documents has a weight has no centroid and is left as it is.
     """
     labels = doc_topics.select("slice", "doc_id", "topic")
     if n_topics is None:
         return labels
     merged = (
-        labels.join(topic_merges(weights, labels, n_topics), ["slice", "topic"], "left")
-        .withColumn("_to", F.coalesce("new_topic", "topic"))
+        labels.join(merged_topics(centroids(weights, labels), n_topics), ["slice", "topic"], "left")
+        .withColumn("_to", F.coalesce("cluster", "topic"))
         .select("slice", "doc_id", F.when(F.col("_to") != NOISE, F.col("_to")).alias("cluster"))
     )
     return number_topics(merged)
