@@ -337,13 +337,23 @@ ORACLE: dict[str, str] = {
         GROUP BY doc_id) USING (doc_id)""", "centers",
     ),
     "m8_reduce_topics": sql(
-        """, sims AS (SELECT a.slice_label, a.topic, b.topic AS new_topic, sum(a.c * b.c) AS sim FROM centers a
-            JOIN centers b ON a.slice_label = b.slice_label AND a.term = b.term
-            WHERE a.topic >= 3 AND b.topic BETWEEN 0 AND 2 GROUP BY a.slice_label, a.topic, b.topic),
-        moved AS (SELECT slice_label, topic, new_topic FROM sims
-            QUALIFY row_number() OVER (PARTITION BY slice_label, topic ORDER BY round(sim, 6) DESC, new_topic) = 1),
-        merged AS (SELECT doc_id, slice_label, CASE WHEN topic < 3 THEN topic ELSE coalesce(new_topic, 0) END AS t
-            FROM labels LEFT JOIN moved USING (slice_label, topic)),
+        """, tp AS (SELECT DISTINCT slice_label, topic FROM centers WHERE topic >= 0),
+        dots AS (SELECT a.slice_label, a.topic AS x, b.topic AS y, sum(a.c * b.c) AS s FROM centers a
+            JOIN centers b ON a.slice_label = b.slice_label AND a.term = b.term GROUP BY ALL),
+        base AS MATERIALIZED (SELECT p.slice_label, p.topic AS x, q.topic AS y, coalesce(s, 0) AS s FROM tp p JOIN tp q USING (slice_label)
+            LEFT JOIN dots ON dots.slice_label = p.slice_label AND dots.x = p.topic AND dots.y = q.topic),
+        m0 AS (SELECT slice_label, topic, topic AS g FROM tp)"""
+        + "".join(
+            f""", best{i} AS MATERIALIZED (SELECT * FROM (SELECT b.slice_label, p.g AS ga, q.g AS gb, round(avg(s), 12) AS s FROM base b
+                JOIN m{i} p ON p.slice_label = b.slice_label AND p.topic = b.x JOIN m{i} q ON q.slice_label = b.slice_label AND q.topic = b.y
+                WHERE p.g < q.g GROUP BY ALL)
+            WHERE slice_label IN (SELECT slice_label FROM m{i} GROUP BY slice_label HAVING count(DISTINCT g) > 3)
+            QUALIFY row_number() OVER (PARTITION BY slice_label ORDER BY s DESC, ga, gb) = 1),
+        m{i + 1} AS MATERIALIZED (SELECT m{i}.slice_label, topic, CASE WHEN g = gb THEN ga ELSE g END AS g
+            FROM m{i} LEFT JOIN best{i} USING (slice_label))"""
+            for i in range(3)
+        )
+        + """, merged AS (SELECT doc_id, slice_label, coalesce(g, topic) AS t FROM labels LEFT JOIN m3 USING (slice_label, topic)),
         numbered AS (SELECT slice_label, t, row_number() OVER (PARTITION BY slice_label ORDER BY count(*) DESC, min(doc_id)) - 1 AS n
             FROM merged WHERE t >= 0 GROUP BY slice_label, t)
         SELECT doc_id, coalesce(n, -1) AS topic FROM merged LEFT JOIN numbered USING (slice_label, t)""", "centers",
@@ -402,8 +412,10 @@ ORACLE: dict[str, str] = {
             JOIN (SELECT slice_label, sum(tf) / count(DISTINCT topic) AS mean FROM c GROUP BY ALL) USING (slice_label)),
         t AS (SELECT slice_label, topic, term, row_number() OVER (PARTITION BY slice_label, topic ORDER BY round(score, 6) DESC, term) AS rank
             FROM s QUALIFY rank <= 4)
-        SELECT slice_label, topic, "count", topic || '_' || words AS name
+        SELECT slice_label, topic, "count", topic || '_' || words AS name, n_terms, n_terms AS n_positions,
+            "count" AS n_docs, "count" AS n_placed, "count" AS n_vectors
         FROM (SELECT slice_label, topic, count(*) AS "count" FROM density GROUP BY ALL)
+        JOIN (SELECT slice_label, topic, least(count(*), 10) AS n_terms FROM s GROUP BY ALL) USING (slice_label, topic)
         JOIN (SELECT slice_label, topic, string_agg(term, '_' ORDER BY rank) AS words FROM t GROUP BY ALL) USING (slice_label, topic)""",
         "density", "tf",
     ),
@@ -444,12 +456,14 @@ def _lda_terms(scope: str) -> str:
 
 _TOPICS = "(SELECT unnest(range(10)) AS topic)"
 ORACLE["m2_lda_timesliced"] = sql("", "unstopped") + f""", {_lda_terms("slice_label")}
-    SELECT slice_label, topic, rank, 10 AS n_terms, true AS known FROM (SELECT DISTINCT slice_label FROM lt), {_TOPICS},
-    (SELECT unnest(range(1, 11)) AS rank)"""
+    SELECT slice_label, topic, rank, 10 AS n_terms, true AS known, n_words, true AS improved
+    FROM (SELECT slice_label, CAST(sum(tf) AS DOUBLE) AS n_words FROM lt JOIN lv USING (scope, term) GROUP BY slice_label),
+    {_TOPICS}, (SELECT unnest(range(1, 11)) AS rank)"""
 ORACLE["w3_lda_topic_strings"] = sql("", "unstopped") + f""", {_lda_terms("slice_label")}
     SELECT slice_label, 'Topic ' || topic AS topic, 10 AS n_words FROM (SELECT DISTINCT slice_label FROM lt), {_TOPICS}"""
 ORACLE["m3_lda_mixture"] = sql("", "unstopped") + f""", {_lda_terms("slice_label")}
-    SELECT doc_id, CAST(doc_id IN (SELECT doc_id FROM lt JOIN lv USING (scope, term)) AS DOUBLE) AS total, true AS shares FROM monthly"""
+    SELECT doc_id, CAST(doc_id IN (SELECT doc_id FROM lt JOIN lv USING (scope, term)) AS DOUBLE) AS total, true AS shares,
+    doc_id IN (SELECT doc_id FROM lt JOIN lv USING (scope, term)) AS uneven FROM monthly"""
 ORACLE["m4_lda_corpus"] = sql("", "unstopped") + f""", {_lda_terms("'all'")}
     SELECT slice_label, 10 AS n_topics, round(avg(CAST(doc_id IN (SELECT doc_id FROM lt JOIN lv USING (scope, term)) AS DOUBLE)), 6) AS total
     FROM monthly GROUP BY slice_label"""
@@ -465,8 +479,12 @@ ORACLE["m6_reduce_dimensions"] = f"""SELECT a, b, (SELECT count(*) FROM embeddin
     FROM {_PAIRS.format(5)}"""
 ORACLE["m13_layout_2d"] = f"""SELECT a, b, (SELECT count(*) FROM documents) AS n, 0e0 AS covariance, true AS ordered
     FROM {_PAIRS.format(2)}"""
-ORACLE["m9_kmeans_topics"] = """SELECT '2024-0' || (label % 6 + 1) AS slice_label, count(*) AS n, true AS at_most_4, true AS ordered
-    FROM embeddings GROUP BY ALL"""
+ORACLE["m9_kmeans_topics"] = """WITH v AS (SELECT '2024-0' || (label % 6 + 1) AS slice_label, vec_id, unnest(embedding)::DOUBLE AS x,
+        generate_subscripts(embedding, 1) AS "at" FROM embeddings),
+    u AS (SELECT slice_label, "at", x / sqrt(sum(x * x) OVER (PARTITION BY slice_label, vec_id)) AS x FROM v),
+    o AS (SELECT slice_label, sqrt(sum(s * s)) AS length FROM (SELECT slice_label, "at", sum(x) AS s FROM u GROUP BY ALL) GROUP BY slice_label),
+    c AS (SELECT '2024-0' || (label % 6 + 1) AS slice_label, count(*) AS n FROM embeddings GROUP BY ALL)
+    SELECT slice_label, n, true AS at_most_4, true AS ordered, round(n - length, 4) AS one, true AS tighter FROM c JOIN o USING (slice_label)"""
 ORACLE["a7_tfidf_table_stopwords"] = _other(
     "SELECT slice_label, term, round(sum(weight), 6) AS score FROM weights2 GROUP BY ALL", "stopped", _ALL, "monthly", "tf",
     extra="""stop AS (SELECT term FROM tf GROUP BY term ORDER BY count(*) DESC, term LIMIT 20),
@@ -477,6 +495,6 @@ ORACLE["a7_tfidf_table_stopwords"] = _other(
 )
 ORACLE["t4_collected_records"] = sql(
     """SELECT id, start, "end" FROM (SELECT CAST(doc_id AS VARCHAR) AS id, published, start, "end" FROM docs
-        JOIN weeks2024 ON published >= start AND published < "end" WHERE doc_id % 2 = 0 OR start >= TIMESTAMP '2024-03-01')
-    QUALIFY row_number() OVER (PARTITION BY start ORDER BY published DESC, id) <= 10""", "weeks2024",
+        JOIN weeks2024 ON published >= start AND published < "end" WHERE published < TIMESTAMP '2024-03-01' OR start >= TIMESTAMP '2024-03-01')
+    QUALIFY row_number() OVER (PARTITION BY start ORDER BY published DESC, id) <= 100""", "weeks2024",
 )

@@ -12,7 +12,7 @@ from topictide.catalog.inputs import r6, with_label
 from topictide.functions import text as T
 from topictide.functions import vectors as V
 from topictide.functions.dates import parse_date, slice_label, slice_start, year_month
-from topictide.operators import density, embedding, grid_density, intervals, kmeans, lda, slicing, staging, topics, trend
+from topictide.operators import density, embedding, grid_density, hierarchy, intervals, kmeans, lda, slicing, staging, topics, trend
 from topictide.operators import keywords as K
 from topictide.plans.config import RunConfig, fingerprint
 from topictide.plans import runs
@@ -24,6 +24,7 @@ QUERIES: dict[str, Query] = {}
 
 VOCABULARY = 500
 DENSITY = density.DensitySettings(eps=0.4, min_samples=3, min_cluster_size=5)
+HIERARCHY = hierarchy.HierarchySettings(min_samples=DENSITY.min_samples, min_cluster_size=DENSITY.min_cluster_size)
 GRID = grid_density.GridSettings(eps=0.2, min_samples=4, min_cluster_size=5)
 LDA_SETTINGS = lda.LdaSettings(n_topics=10, max_features=1000)
 RESULT_CONFIG = {"job_name": "topics-monthly", "sampling_freq": "monthly", "n_topics": 7}
@@ -103,12 +104,11 @@ def t4_pending_intervals(spark, sf_dir):
 
 @query
 def t4_collected_records(spark, sf_dir):
-    """Window, cap and resume together: the even documents up to March, then all of them; what was there stays."""
+    """Window, cap and resume together: what was published before March, then everything; the week that was open then stays as it was."""
     path = work_path(spark, "raw")
     docs = I.documents(spark, sf_dir).withColumn("id", F.col("doc_id").cast("string"))
-    config = RunConfig(start_year=2024, end_year=2024, sampling_freq="weekly", max_per_interval=10)
-    early = F.col("published") < F.lit("2024-03-04").cast("timestamp")
-    runs.collect_records(docs.where(early & (F.col("doc_id") % 2 == 0)), path, config)
+    config = RunConfig(start_year=2024, end_year=2024, sampling_freq="weekly", max_per_interval=100)
+    runs.collect_records(docs.where(F.col("published") < F.lit("2024-03-01").cast("timestamp")), path, config)
     runs.collect_records(docs, path, config)
     rows = spark.read.option("basePath", path).options(**readers.CSV_OPTIONS).option("multiLine", "true").csv(path)
     bounds = F.split("interval", "_to_")
@@ -563,6 +563,14 @@ def m7_density_topics(spark, sf_dir):
     return labels.select("doc_id", F.col("topic").cast("long").alias("topic"))
 
 
+@query
+def m7_cluster_hierarchy(spark, sf_dir):
+    """Topics that are stable over all distances, with the membership that the hierarchy gives."""
+    docs = slicing.with_slice(I.documents(spark, sf_dir), "monthly")
+    labels = hierarchy.hierarchical_topics(docs, _weights(spark, sf_dir), HIERARCHY)
+    return labels.select("doc_id", F.col("topic").cast("long").alias("topic"), r6("probability").alias("probability"))
+
+
 # ---- trend and positions ----
 
 
@@ -686,24 +694,28 @@ def _lda(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 @query
 def m2_lda_timesliced(spark, sf_dir):
-    """Every rank of every topic, and whether its term is in the slice's vocabulary."""
-    found, _ = _lda(spark, sf_dir)
+    """Every rank of every topic, whether its term is in the slice's vocabulary, how many words the slice's model shares out
+    among its topics, and whether the bound on the likelihood has risen."""
+    fit = lda.fit_timesliced(I.sliced(spark, sf_dir), LDA_SETTINGS, I.STOPWORDS)
     vocabulary = K.vocabulary(K.bags(I.sliced(spark, sf_dir), I.STOPWORDS), LDA_SETTINGS.max_features)
     known = vocabulary.select("slice", "term", F.lit(True).alias("known"))
-    rows = found.join(known, ["slice", "term"], "left").withColumn("known", F.coalesce("known", F.lit(False)))
+    rows = fit.topics.join(known, ["slice", "term"], "left").withColumn("known", F.coalesce("known", F.lit(False)))
     distinct = rows.groupBy("slice", "topic").agg(F.count_distinct("term").alias("n_terms"))
-    rows = rows.join(distinct, ["slice", "topic"]).select("slice", *[F.col(c).cast("long").alias(c) for c in ("topic", "rank", "n_terms")], "known")
-    return with_label(rows)
+    # weights are the prior 1 / k and the words given to a topic
+    words = fit.weights.groupBy("slice").agg(F.round(F.sum(F.aggregate("weights", F.lit(-1.0), lambda a, w: a + w)), 6).alias("n_words"))
+    ends = fit.bounds.groupBy("slice").agg((F.max_by("bound", "iteration") > F.min_by("bound", "iteration")).alias("improved"))
+    rows = rows.join(distinct, ["slice", "topic"]).join(words, "slice").join(ends, "slice")
+    return with_label(rows.select("slice", *[F.col(c).cast("long").alias(c) for c in ("topic", "rank", "n_terms")], "known", "n_words", "improved"))
 
 
 @query
 def m3_lda_mixture(spark, sf_dir):
-    """The wide mixtures: every document, the sum of its columns, and whether they are shares."""
+    """The wide mixtures: every document, the sum of its columns, whether they are shares, and whether one topic stands out."""
     _, mixtures = _lda(spark, sf_dir)
     wide = lda.wide_mixtures(mixtures, LDA_SETTINGS.n_topics)
     columns = [F.col(f"Topic {i}") for i in range(LDA_SETTINGS.n_topics)]
-    total, least = sum(columns[1:], columns[0]), F.least(*columns)
-    return wide.select("doc_id", F.round(total, 6).alias("total"), (least >= 0).alias("shares"))
+    total, least, most = sum(columns[1:], columns[0]), F.least(*columns), F.greatest(*columns)
+    return wide.select("doc_id", F.round(total, 6).alias("total"), (least >= 0).alias("shares"), (most > 1.001 / LDA_SETTINGS.n_topics).alias("uneven"))
 
 
 @query
@@ -794,14 +806,27 @@ def m7_grid_density_topics(spark, sf_dir):
 
 @query
 def m9_kmeans_topics(spark, sf_dir):
-    """Sizes of a slice's topics: all documents are in one, and the numbers follow the sizes."""
-    labels = kmeans.kmeans_topics(_vectors(spark, sf_dir), 4)
+    """Sizes of a slice's topics: all documents are in one, and the numbers follow the sizes. ``one`` is the cost of a single
+    cluster, below which k-means must stay."""
+    vectors = _vectors(spark, sf_dir)
+    clusters, fit = kmeans.kmeans_clusters(vectors, 4)
+    labels = topics.number_topics(clusters)
     sizes = labels.groupBy("slice", "topic").agg(F.count("*").alias("n"))
     listed = F.array_sort(F.collect_list(F.struct("topic", "n")))
     per_slice = sizes.groupBy("slice").agg(F.sum("n").alias("n"), F.count("*").alias("k"), listed.alias("l"), F.min("topic").alias("low"))
     counts = F.transform("l", lambda x: x["n"])
     ordered = F.sort_array(counts, asc=False) == counts
-    return with_label(per_slice.select("slice", "n", (F.col("k") <= 4).alias("at_most_4"), (ordered & (F.col("low") == 0)).alias("ordered")))
+    sums = vectors.select("slice", F.posexplode(V.l2_normalise(F.col("embedding"))).alias("at", "x")).groupBy("slice", "at").agg(F.sum("x").alias("s"))
+    one = sums.groupBy("slice").agg(F.sqrt(F.sum(F.col("s") * F.col("s"))).alias("length"))
+    starts = [r["slice"] for r in vectors.select("slice").distinct().orderBy("slice").collect()]
+    costs = spark.createDataFrame([(s, fit.costs[-1][i]) for i, s in enumerate(starts)], "slice timestamp, cost double")
+    rows = per_slice.join(one, "slice").join(costs, "slice").withColumn("one", F.col("n") - F.col("length"))
+    return with_label(
+        rows.select(
+            "slice", "n", (F.col("k") <= 4).alias("at_most_4"), (ordered & (F.col("low") == 0)).alias("ordered"),
+            F.round("one", 4).alias("one"), (F.col("cost") < F.col("one")).alias("tighter"),
+        )
+    )
 
 
 @query
@@ -812,11 +837,21 @@ def m13_layout_2d(spark, sf_dir):
 
 @query
 def m16_cluster_timesliced(spark, sf_dir):
-    config = RunConfig(eps=DENSITY.eps, min_samples=DENSITY.min_samples, min_cluster_size=DENSITY.min_cluster_size, umap_reduce=False)
-    info = runs.cluster_timesliced(I.cleaned(spark, sf_dir), config)["topic_info"]
-    return with_label(
-        info.select("slice", F.col("topic").cast("long").alias("topic"), "count", "name")
-    )
+    """The whole clustering run with its layout: topics, and by topic the rows of the other tables."""
+    config = RunConfig(eps=DENSITY.eps, min_samples=DENSITY.min_samples, min_cluster_size=DENSITY.min_cluster_size, umap_reduce=True)
+    found = runs.cluster_timesliced(I.cleaned(spark, sf_dir), config)
+    keys = ["slice", "topic"]
+    counts = [
+        found["topic_terms"].groupBy(*keys).agg(F.count("*").alias("n_terms")),
+        found["positions"].groupBy(*keys).agg(F.count_distinct("keyword").alias("n_positions")),
+        found["doc_topics"].groupBy(*keys).agg(F.count("*").alias("n_docs"), F.count("x").alias("n_placed")),
+        found["vectors"].join(found["doc_topics"].select("slice", "doc_id", "topic"), ["slice", "doc_id"]).groupBy(*keys).agg(F.count("*").alias("n_vectors")),
+    ]
+    rows = found["topic_info"]
+    for part in counts:
+        rows = rows.join(part, keys, "left")
+    columns = ("n_terms", "n_positions", "n_docs", "n_placed", "n_vectors")
+    return with_label(rows.select("slice", F.col("topic").cast("long").alias("topic"), "count", "name", *columns))
 
 
 # ---- sources and sinks: written to the shared folder, then read back ----

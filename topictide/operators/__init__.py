@@ -1,0 +1,10 @@
+"""Operators on DataFrames.
+
+Their functions travel to the Python workers by value, so executors need no copy of the package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -23,23 +23,25 @@ VARIANTS = ("smooth_l2", "plain")
 def without_stopwords(docs: DataFrame, stopwords: Iterable[str] | DataFrame | None, text_col: str = "text") -> DataFrame:
     """``docs`` with the stopwords taken out of the text.
 
-    A list becomes a hash set of literals; a table (column ``word``), of any length, is anti-joined with the words,
-    which are then put together again by document. Documents are told apart by slice and ``doc_id``.
+    A list becomes a hash set of literals; a table (column ``word``), of any length, is anti-joined with the words of every
+    different text, which are then put together again. Either way a null text stays null and a text of stopwords becomes empty,
+    whatever the other columns hold.
     """
     if stopwords is None:
         return docs
     if not isinstance(stopwords, DataFrame):
         return docs.withColumn(text_col, T.remove_stopwords(F.col(text_col), stopwords))
-    keys = [c for c in ("slice", "doc_id") if c in docs.columns]
-    words = docs.select(*keys, F.posexplode(T.words(F.col(text_col))).alias("_at", "word"))
+    keyed = docs.withColumn("_text_key", F.sha2(text_col, 256))
+    texts = keyed.where(F.col(text_col).isNotNull()).groupBy("_text_key").agg(F.first(text_col).alias("_text"))
+    words = texts.select("_text_key", F.posexplode(T.words(F.col("_text"))).alias("_at", "word"))
     left = (
         stopword_join(words, stopwords)
-        .groupBy(*keys)
+        .groupBy("_text_key")
         .agg(F.array_sort(F.collect_list(F.struct("_at", "word"))).alias("_w"))
-        .select(*keys, F.array_join(F.transform("_w", lambda w: w["word"]), " ").alias("_text"))
+        .select("_text_key", F.array_join(F.transform("_w", lambda w: w["word"]), " ").alias("_left"))
     )
-    joined = docs.join(left, keys, "left").withColumn(text_col, F.coalesce("_text", F.lit("")))
-    return joined.select(*docs.columns)
+    bare = F.when(F.col(text_col).isNotNull(), F.coalesce("_left", F.lit("")))
+    return keyed.join(left, "_text_key", "left").withColumn(text_col, bare).select(*docs.columns)
 
 
 def bags(
@@ -118,7 +120,7 @@ def numbered_vocabulary(bag: DataFrame, max_features: int) -> DataFrame:
     return vocabulary(bag, max_features).withColumn("term_id", F.row_number().over(window) - 1)
 
 
-def _bounded(vocab: DataFrame, bag: DataFrame, max_features: int | None) -> DataFrame:
+def bounded(vocab: DataFrame, bag: DataFrame, max_features: int | None) -> DataFrame:
     """Mark ``vocab`` for broadcast if it provably is small.
 
     It has at most ``max_features`` rows per slice; the slices are counted (a scan of the
@@ -141,7 +143,7 @@ def count_vectors(bag: DataFrame, max_features: int) -> DataFrame:
     vocab = numbered_vocabulary(shared, max_features).select("slice", "term", "term_id")
     return (
         term_counts(shared)
-        .join(_bounded(vocab, bag, max_features), ["slice", "term"])
+        .join(bounded(vocab, bag, max_features), ["slice", "term"])
         .select("slice", "doc_id", "term_id", "tf")
     )
 
@@ -167,7 +169,7 @@ def tfidf_documents(
     )
     length = F.aggregate("terms", F.lit(0).cast("long"), lambda acc, t: acc + t["tf"])
     counts = exploded(shared, "slice", "doc_id", length.alias("doc_length"))
-    joined = counts.join(_bounded(vocab, bag, max_features), ["slice", "term"])
+    joined = counts.join(bounded(vocab, bag, max_features), ["slice", "term"])
     if variant == "plain":
         weight = F.col("tf") / F.col("doc_length") * F.col("idf")
     else:

@@ -6,6 +6,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import datetime
 
+import numpy as np
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from topictide.functions import text as T
 from topictide.operators import keywords as K
-from topictide.operators.perslice import for_each_slice
+from topictide.operators import variational
 from topictide.session import materialise
 
 TOP_WORDS = 10
@@ -84,34 +85,96 @@ def _fit(rows: DataFrame, keep: list[str], s: LdaSettings) -> tuple[DataFrame, D
     return topics, mixtures, vectors
 
 
-def lda_timesliced(
+# Numbers in a model that is fitted at once (a third of a gigabyte as broadcast, sums and new model); more slices go in groups.
+MODEL_NUMBERS = 1 << 23
+
+
+def _numbered_documents(docs: DataFrame, s: LdaSettings, stopwords: Iterable[str] | None) -> tuple[DataFrame, DataFrame]:
+    """(slice, doc_id, terms array<struct<term_id, tf>>) of all documents and the numbered vocabularies (slice, term, term_id)."""
+    bag = materialise(K.bags(docs, stopwords).select("slice", "doc_id", "terms", F.monotonically_increasing_id().alias("row")), "bags")
+    vocab = materialise(K.numbered_vocabulary(bag, s.max_features).select("slice", "term", "term_id"), "vocabulary")
+    found = K.exploded(bag, "slice", "row").join(K.bounded(vocab, bag, s.max_features), ["slice", "term"])
+    terms = F.array_sort(F.collect_list(F.struct(F.col("term_id"), F.col("tf").cast("double").alias("tf"))))
+    rows = bag.select("slice", "doc_id", "row").join(found.groupBy("row").agg(terms.alias("terms")), "row", "left")
+    none = F.array().cast("array<struct<term_id:int,tf:double>>")
+    return materialise(rows.select("slice", "doc_id", F.coalesce("terms", none).alias("terms")), "lda-documents"), vocab
+
+
+def _groups(sizes: dict[datetime, int], k: int) -> list[list[datetime]]:
+    """Slices dealt so that a group's models have at most ``MODEL_NUMBERS`` numbers (one slice at least)."""
+    out: list[list[datetime]] = []
+    held = 0
+    for start in sorted(sizes):
+        if not out or held + sizes[start] * k > MODEL_NUMBERS:
+            out.append([])
+            held = 0
+        out[-1].append(start)
+        held += sizes[start] * k
+    return out
+
+
+@dataclass(frozen=True)
+class LdaFit:
+    topics: DataFrame  # slice, topic, rank, term, score
+    mixtures: DataFrame  # slice, doc_id, mixture
+    bounds: DataFrame  # slice, iteration, bound
+    weights: DataFrame  # slice, term, weights array<double>: Dirichlet weights of the term in each topic
+
+
+def fit_timesliced(
     docs: DataFrame, settings: LdaSettings = LdaSettings(), stopwords: Iterable[str] | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """Per-slice fits: topics (slice, topic, rank, term, score) and mixtures (slice, doc_id, mixture).
+) -> LdaFit:
+    """The models of all slices.
 
-    Every fit is distributed over the documents of its slice. For very many slices see
-    ``lda_corpus``, which fits once.
+    Every slice has its own vocabulary and model, and all of them are fitted together: an iteration is one aggregation over
+    the documents of all slices. ``bound`` is the variational bound on the log likelihood of the slice before that iteration. A document
+    without a vocabulary term has shares of zero; a slice without any term has neither topics nor mixtures. Models depend on the seed, the slice
+    and its documents, not on the partitioning (up to the last digits of sums) or on other slices.
     """
+    spark = docs.sparkSession
+    s, k = settings, settings.n_topics
+    prior = 1.0 / k
+    stored, vocab = _numbered_documents(docs, s, stopwords)
+    # one row per slice: calendar bound
+    sizes = {r["slice"]: r["n"] for r in vocab.groupBy("slice").agg(F.count("*").alias("n")).collect()}
+    stamps = {r["slice"]: r["s"] for r in vocab.select("slice", F.unix_timestamp("slice").alias("s")).distinct().collect()}
+    topics, shares, bounds, weights = [], [], [], []
+    for group in _groups(sizes, k):
+        numbers = {start: i for i, start in enumerate(group)}
+        model = variational.start_model([sizes[g] for g in group], [stamps[g] for g in group], k, s.seed)
+        placed = spark.createDataFrame([(g, i, int(model.bounds[i])) for g, i in numbers.items()], "slice timestamp, slice_no int, base int")
+        own = stored.join(F.broadcast(placed), "slice").select(
+            "slice", "doc_id", "slice_no",
+            F.transform("terms", lambda t: t["term_id"] + F.col("base")).alias("rows"), F.transform("terms", lambda t: t["tf"]).alias("counts"),
+        )
+        own = materialise(own, "lda-rows")
+        full = own.where(F.size("rows") > 0)
+        for i in range(s.max_iter):
+            model, bound = variational.iterate(full, model, prior, prior)
+            bounds += [(g, i, float(bound[n])) for g, n in numbers.items()]
+        for start, part in zip(group, model.parts()):
+            weights += [(start, t, row) for t, row in enumerate(part.tolist())]
+            part = part / part.sum(axis=0)
+            for topic in range(k):
+                best = np.lexsort((np.arange(len(part)), -part[:, topic]))[:TOP_WORDS]
+                topics += [(start, topic, r + 1, int(t), float(part[t, topic])) for r, t in enumerate(best)]
+        shares.append(materialise(variational.mixtures(own, model, prior, ["slice", "doc_id"]), "mixtures"))
+    ranked = spark.createDataFrame(topics, "slice timestamp, topic int, rank int, term_id int, score double")
+    ranked = ranked.join(K.bounded(vocab, vocab, s.max_features), ["slice", "term_id"]).select("slice", "topic", "rank", "term", "score")
+    mixed = stored.select("slice", "doc_id", F.lit(None).cast("array<double>").alias("mixture")).limit(0)
+    for part in shares:
+        mixed = mixed.unionByName(part)
+    named = spark.createDataFrame(weights, "slice timestamp, term_id int, weights array<double>").join(vocab, ["slice", "term_id"])
+    rising = spark.createDataFrame(bounds, "slice timestamp, iteration int, bound double")
+    return LdaFit(ranked, mixed, rising, named.select("slice", "term", "weights"))
 
-    def fit(_: datetime, rows: DataFrame) -> tuple[dict[str, DataFrame], list[DataFrame]]:
-        fitted = _fit(rows, ["doc_id"], settings)
-        if fitted is None:
-            return {}, []
-        topics, mixtures, vectors = fitted
-        return {"topics": topics, "mixtures": mixtures}, [vectors]
-
-    out = for_each_slice(
-        _tokenised(docs, stopwords),
-        fit,
-        {
-            "topics": "topic int, rank int, term string, score double",
-            "mixtures": "doc_id long, mixture array<double>",
-        },
-    )
-    return (
-        out["topics"].select("slice", "topic", "rank", "term", "score"),
-        out["mixtures"].select("slice", "doc_id", "mixture"),
-    )
+
+def lda_timesliced(
+    docs: DataFrame, settings: LdaSettings = LdaSettings(), stopwords: Iterable[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Per-slice models, fitted in one job: topics (slice, topic, rank, term, score) and mixtures (slice, doc_id, mixture)."""
+    fit = fit_timesliced(docs, settings, stopwords)
+    return fit.topics, fit.mixtures
 
 
 def lda_corpus(
