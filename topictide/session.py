@@ -57,6 +57,12 @@ def shared_dir(spark: SparkSession) -> str:
     return os.path.join(tempfile.gettempdir(), "topictide")
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of the shared file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 _scratch: ContextVar[str | None] = ContextVar("topictide_scratch", default=None)
 
 
@@ -77,8 +83,7 @@ def scratch(spark: SparkSession, name: str = "run") -> Iterator[str]:
         yield folder
     finally:
         _scratch.reset(token)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove(spark, folder)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
