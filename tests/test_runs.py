@@ -126,3 +126,19 @@ def test_stopwords_from_a_table(spark):
 def test_dedupe_keeps_the_smallest_id(spark):
     df = spark.createDataFrame([(3, "h", "x"), (1, "h", "y"), (1, "h", "y"), (2, None, "z"), (None, "g", "w")], "doc_id long, hash string, text string")
     assert sorted(r["text"] for r in staging.dedupe_documents(df).collect()) == ["w", "y", "z"]
+
+
+@pytest.mark.parametrize("stop", [["the", "sat", "naïve"], ["absent"]])
+def test_stopword_forms_agree_on_repeated_and_null_keys(spark, stop):
+    rows = [(JAN, 1, "the cat sat"), (JAN, 1, "the dog sat sat"), (JAN, 1, "the cat sat"), (None, None, "the end"), (JAN, None, "the The"), (FEB, None, None), (FEB, 2, "")]
+    docs = spark.createDataFrame([(*r, "kept", 7) for r in rows], "slice timestamp, doc_id long, text string, word string, _at int")
+    table = spark.createDataFrame([(i, w) for i, w in enumerate(stop)], "pos int, word string")
+    by_list, by_table = (sorted(map(str, keywords.without_stopwords(docs, s).collect())) for s in (stop, table))
+    assert by_list == by_table and len(by_table) == len(rows)
+
+
+def test_columns_with_one_standard_name_are_an_error(spark):
+    df = spark.createDataFrame([(1, 2)], "` Row  Id` int, `row_Nr` int")
+    assert staging.standardise_columns(df).columns == ["row_id", "row_nr"]
+    with pytest.raises(ValueError):
+        staging.standardise_columns(spark.createDataFrame([(1, 2)], "`Row Id` int, `row_id ` int"))

@@ -443,6 +443,12 @@ ORACLE: dict[str, str] = {
     ),
 }
 ORACLE["s12_trend_csv"] = ORACLE["m15_trend_summary"]
+ORACLE["s12_positions_csv"] = ORACLE["m14_topic_positions"]
+ORACLE["s9_topics_csv"] = sql(
+    "SELECT slice_label, 'Topic ' || topic AS topic, string_agg(term, ', ' ORDER BY rank) AS top_keywords FROM terms GROUP BY slice_label, terms.topic", "terms"
+)
+ORACLE["s9_document_topics_csv"] = """SELECT '2024-0' || (label % 6 + 1) AS slice_label, vec_id AS doc_id, round(CAST(embedding[1] AS DOUBLE), 6) AS "Topic 0",
+    round(CAST(embedding[2] AS DOUBLE), 6) AS "Topic 1", round(CAST(embedding[3] AS DOUBLE), 6) AS "Topic 2" FROM embeddings"""
 ORACLE["p15_clean_pages"] = f"SELECT page_id, {_clean("url || ' ' || html")} AS text FROM pages"
 
 
@@ -475,9 +481,9 @@ ORACLE["m5_embed_documents"] = sql("", "clean") + """, h AS (SELECT doc_id, md5(
     SELECT doc_id, "at", round(CASE WHEN n > 0 THEN coalesce(v, 0) / n ELSE 0 END, 4) AS value
     FROM (SELECT doc_id, unnest(range(32)) AS "at" FROM clean) LEFT JOIN s USING (doc_id, "at") LEFT JOIN n USING (doc_id)"""
 _PAIRS = "(SELECT a, b FROM range({0}) x(a), range({0}) y(b) WHERE a < b)"
-ORACLE["m6_reduce_dimensions"] = f"""SELECT a, b, (SELECT count(*) FROM embeddings) AS n, 0e0 AS covariance, true AS ordered
+ORACLE["m6_reduce_dimensions"] = f"""SELECT a, b, (SELECT count(*) FROM embeddings) AS n, 0e0 AS mean, 0e0 AS covariance, true AS ordered, true AS spread
     FROM {_PAIRS.format(5)}"""
-ORACLE["m13_layout_2d"] = f"""SELECT a, b, (SELECT count(*) FROM documents) AS n, 0e0 AS covariance, true AS ordered
+ORACLE["m13_layout_2d"] = f"""SELECT a, b, (SELECT count(*) FROM documents) AS n, 0e0 AS mean, 0e0 AS covariance, true AS ordered, true AS spread
     FROM {_PAIRS.format(2)}"""
 ORACLE["m9_kmeans_topics"] = """WITH v AS (SELECT '2024-0' || (label % 6 + 1) AS slice_label, vec_id, unnest(embedding)::DOUBLE AS x,
         generate_subscripts(embedding, 1) AS "at" FROM embeddings),

@@ -769,19 +769,24 @@ def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _axes(coordinates: DataFrame, dim: int) -> DataFrame:
-    """(a, b, n, covariance, ordered): axes of a reduction are uncorrelated, and no axis spreads more than the one before it."""
+def _axes(vectors: DataFrame, coordinates: DataFrame, dim: int) -> DataFrame:
+    """(a, b, n, mean, covariance, ordered, spread): axes of a reduction are centred and uncorrelated, none spreads more than the one
+    before it, and together they spread at least as much as the ``dim`` most spread entries of the vectors."""
     at = [F.element_at("embedding", i + 1).cast("double") for i in range(dim)]
     pairs = [(i, j) for i in range(dim) for j in range(i + 1, dim)]
+    entries = vectors.select(F.posexplode("embedding").alias("at", "x")).groupBy("at").agg(F.var_pop(F.col("x").cast("double")).alias("v"))
+    least = sum(r["v"] for r in entries.orderBy(F.desc("v")).limit(dim).collect())
     sums = coordinates.agg(
         F.count("*").alias("n"),
         *[F.covar_pop(at[i], at[j]).alias(f"c{i}_{j}") for i, j in pairs],
         *[F.var_pop(at[i]).alias(f"v{i}") for i in range(dim)],
+        *[F.avg(at[i]).alias(f"m{i}") for i in range(dim)],
     )
+    spread = sum((F.col(f"v{i}") for i in range(1, dim)), F.col("v0")) >= least - 1e-9
     rows = [
         F.struct(
-            F.lit(i).cast("long").alias("a"), F.lit(j).cast("long").alias("b"), F.col("n"),
-            (F.round(F.col(f"c{i}_{j}"), 6) + 0.0).alias("covariance"), (F.col(f"v{i}") >= F.col(f"v{j}")).alias("ordered"),
+            F.lit(i).cast("long").alias("a"), F.lit(j).cast("long").alias("b"), F.col("n"), (F.round(F.col(f"m{i}"), 6) + 0.0).alias("mean"),
+            (F.round(F.col(f"c{i}_{j}"), 6) + 0.0).alias("covariance"), (F.col(f"v{i}") >= F.col(f"v{j}")).alias("ordered"), spread.alias("spread"),
         )
         for i, j in pairs
     ]
@@ -790,7 +795,8 @@ def _axes(coordinates: DataFrame, dim: int) -> DataFrame:
 
 @query
 def m6_reduce_dimensions(spark, sf_dir):
-    return _axes(embedding.reduce_dimensions(_vectors(spark, sf_dir), 5), 5)
+    vectors = _vectors(spark, sf_dir)
+    return _axes(vectors, embedding.reduce_dimensions(vectors, 5), 5)
 
 
 @query
@@ -831,8 +837,8 @@ def m9_kmeans_topics(spark, sf_dir):
 
 @query
 def m13_layout_2d(spark, sf_dir):
-    layout = embedding.layout_2d(embedding.dense_tfidf(_bag(spark, sf_dir)))
-    return _axes(layout.withColumn("embedding", F.array("x", "y")), 2)
+    vectors = materialise(embedding.dense_tfidf(_bag(spark, sf_dir)), "vectors")
+    return _axes(vectors, embedding.layout_2d(vectors).withColumn("embedding", F.array("x", "y")), 2)
 
 
 @query
@@ -936,6 +942,24 @@ def s9_keywords_csv(spark, sf_dir):
     return spark.read.schema(schema).options(**readers.CSV_OPTIONS).csv(path)
 
 
+@query
+def s9_topics_csv(spark, sf_dir):
+    """Topics as text: a name and the joined words."""
+    path = work_path(spark, "topics")
+    writers.write_csv(with_label(lda.topic_strings(_fixture_terms(spark, sf_dir))), path)
+    return spark.read.schema("slice_label string, topic string, top_keywords string").options(**readers.CSV_OPTIONS).csv(path)
+
+
+@query
+def s9_document_topics_csv(spark, sf_dir):
+    """Document mixtures with one column for each topic; the first entries of the vectors stand for shares."""
+    path = work_path(spark, "mixtures")
+    shares = F.transform(F.slice("embedding", 1, 3), lambda x: F.round(x.cast("double"), 6))
+    writers.write_csv(with_label(lda.wide_mixtures(_vectors(spark, sf_dir).withColumn("mixture", shares), 3)), path)
+    schema = "slice_label string, doc_id long, `Topic 0` double, `Topic 1` double, `Topic 2` double"
+    return spark.read.schema(schema).options(**readers.CSV_OPTIONS).csv(path)
+
+
 @query
 def s10_keywords_parquet(spark, sf_dir):
     path = work_path(spark, "keywords")
@@ -960,6 +984,14 @@ def s12_trend_csv(spark, sf_dir):
     return spark.read.schema(schema).options(**readers.CSV_OPTIONS).csv(path)
 
 
+@query
+def s12_positions_csv(spark, sf_dir):
+    path = work_path(spark, "positions")
+    writers.write_csv(m14_topic_positions(spark, sf_dir), path)
+    schema = "slice_label string, topic int, keyword string, score double, x double, y double"
+    return spark.read.schema(schema).options(**readers.CSV_OPTIONS).csv(path)
+
+
 @query
 def s13_result_layout(spark, sf_dir):
     base = work_path(spark, "layout")
