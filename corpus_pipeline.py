@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from topictide.llm import exact_dedup, jaccard_join, mixing, packing
 from topictide.llm import quality_classifier as quality
 from topictide.llm.common import table
-from topictide.session import work_path
+from topictide.session import remove, scratch, work_path
 
 # Targets as in the registered query, but every document at most once and a tenth of the tokens left out.
 MIXTURE = mixing.Mixture(mixing.PRODUCTION.weights, max_epochs=1)
@@ -55,9 +55,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The last stage's rows. A stage's own tables go when it is written, its predecessor's when the next one is."""
+    docs, paths = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
-        path = work_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        paths.append(work_path(spark, f"pipeline-{name}"))
+        with scratch(spark, name):
+            stage(spark, docs, sf_dir).write.parquet(paths[-1])
+        docs = spark.read.parquet(paths[-1])
+        for old in paths[:-1]:
+            remove(spark, old)
+        paths = paths[-1:]
     return docs

@@ -51,7 +51,7 @@ def test_suffix_dedup_edges(edge, none):
 
 def test_chunks_of_a_long_text_lose_no_window(monkeypatch):
     data = np.random.default_rng(0).integers(0, 4, 5000).astype(np.uint8)
-    windows = lambda: [w for _, _, a, b in suffix_dedup.contexts(data) for w in range(a, b + 1)]
+    windows = lambda: [w for _, _, first, last in suffix_dedup.contexts(data) for a, b in zip(first, last) for w in range(a, b + 1)]
     monkeypatch.setattr(suffix_dedup, "CHUNK", 700)
     assert windows() == list(range(5000 - 400 + 1))
 
@@ -132,6 +132,24 @@ def test_near_duplicates_edges(edge, none):
     assert left.columns == edge.columns and left.count() == 8
 
 
+@pytest.mark.parametrize("n", [800, 1600])  # beyond 400 a bucket is split
+def test_large_groups_of_near_copies_give_few_edges(spark, monkeypatch, n):
+    rng = np.random.default_rng(n)
+    base = rng.integers(0, 1 << 32, jaccard_join.SKETCH, dtype=np.uint32)
+    rows = []
+    for i in range(n):
+        sketch = base.copy()
+        sketch[rng.integers(0, jaccard_join.SKETCH)] = rng.integers(0, 1 << 32)
+        rows.append((int.to_bytes(i, 16), sketch.tobytes()))
+    sets = spark.createDataFrame(rows, "key binary, sketch binary").repartition(4)
+    edges = []
+    components = jaccard_join.connected_components
+    monkeypatch.setattr(jaccard_join, "connected_components", lambda e: edges.append(e.count()) or components(e))
+    groups = jaccard_join.candidate_groups(sets, 0.8, 0.999).collect()
+    assert len(groups) == n and len({r["component"] for r in groups}) == 1
+    assert sum(edges) < 3 * n, edges
+
+
 def test_recall_of_the_runs():
     assert jaccard_join.runs_needed(0.999, 0.8) > jaccard_join.runs_needed(0.9, 0.8) > 1
 

@@ -59,13 +59,3 @@ def slices(batches: Iterator[pa.RecordBatch], max_bytes: int = 8 << 20) -> Itera
         step = max(1, int(batch.num_rows * max_bytes / max(batch.nbytes, 1)))
         for start in range(0, batch.num_rows, step):
             yield batch.slice(start, step)
-
-
-def keep_rows(docs: DataFrame, keys: dict[str, Column], kept: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose ``keys`` (nulls equal) are in ``kept``, with all their columns; one row of each key."""
-    rows = docs.select(F.struct("*").alias("row"), *[c.alias(name) for name, c in keys.items()])
-    wanted = kept.select(*keys)
-    same = F.lit(True)
-    for name in keys:
-        same = same & rows[name].eqNullSafe(wanted[name])
-    return rows.join(wanted, same, "left_semi").dropDuplicates(list(keys)).select("row.*")

@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from topictide.llm.common import ascii_lower, hash128, keep_rows, text_of
+from topictide.llm.bloom import keep_rows
+from topictide.llm.common import ascii_lower, hash128, text_of
 from topictide.session import materialise
 
 
@@ -66,6 +67,6 @@ def drop_copies(
     normalise: Callable[[Column], Column] = ascii_lower,
 ) -> DataFrame:
     """The rows of ``docs`` that ``exact_dedup`` keeps, with all their columns."""
-    kept = exact_dedup(docs, id_col, text_col, keep, normalise).where("kept")
-    keys = {"_id": F.col(id_col), "_sha": F.sha2(normalise(text_of(text_col)), 256)}
-    return keep_rows(docs, keys, kept.select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha")))
+    judged = exact_dedup(docs, id_col, text_col, keep, normalise)
+    keys = {"_id": F.col(id_col), "_sha": F.unhex(F.sha2(normalise(text_of(text_col)), 256))}
+    return keep_rows(docs, keys, judged.select(F.col(id_col).alias("_id"), F.unhex("text_sha256").alias("_sha"), "kept"))

@@ -23,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topictide.llm.common import ascii_lower, hash128, keep_rows, slices, small_batches, text_of
+from topictide.llm.bloom import join_counted, keep_rows, only, probed
+from topictide.llm.common import ascii_lower, hash128, slices, small_batches, text_of
 from topictide.operators.components import connected_components
 from topictide.session import materialise
 
@@ -33,6 +34,7 @@ SKETCH = 64  # minwise values of a set
 BUCKET = 400  # larger buckets are split again ...
 FIRST_DEPTH = 2  # levels before buckets are looked at
 MAX_DEPTH = 4  # ... down to this depth and compared in blocks beyond it
+LEADERS = 64  # members of a large component that stand for it until the last runs
 SKETCH_BLOCK = 2048  # rows of a block of sketches; few blocks mean few roots, hence few edges
 BLOCK = 400  # rows of a block of whole sets
 HASHES = 1 << 20  # shingles compared at once
@@ -152,11 +154,10 @@ def _forest(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
         root = new
 
 
-def _similar_forest(m: np.ndarray, left: np.ndarray, right: np.ndarray, least: float) -> np.ndarray:
-    """Roots of the sketches ``m`` when those of ``left`` are joined with similar ones of ``right``.
+def _similar_forest(m: np.ndarray, left: np.ndarray, right: np.ndarray, least: float, root: np.ndarray) -> np.ndarray:
+    """Roots of the sketches ``m``, so far ``root``, when those of ``left`` are joined with similar ones of ``right``.
 
     A few rows at a time, and only pairs that are still apart are looked at: nothing grows with the pairs."""
-    root = np.arange(len(m))
     for at in range(0, len(left), 64):
         rows = left[at : at + 64]
         i, j = np.nonzero((m[rows][:, None, :] == m[right][None]).mean(axis=2) >= least)
@@ -195,7 +196,9 @@ def _sketch_forest(least: float):
         out = []
         for _, g in rows.groupby("path", sort=False):
             g = g.drop_duplicates("key")
-            if len(g) < 2:
+            labels = g["label"].to_numpy()
+            names, first, name = np.unique(labels, return_index=True, return_inverse=True)
+            if len(names) < 2:
                 continue
             m = np.frombuffer(b"".join(g["sketch"]), np.uint32).reshape(len(g), SKETCH)
             a, b = g["a"].iloc[0], g["b"].iloc[0]
@@ -203,11 +206,10 @@ def _sketch_forest(least: float):
                 left = right = np.arange(len(g))
             else:
                 left, right = np.flatnonzero(g["own"] == a), np.flatnonzero(g["own"] == b)
-            root = _similar_forest(m, left, right, least)
-            keys = g["key"].to_numpy()
-            moved = np.flatnonzero(root != np.arange(len(g)))
-            out.append(pd.DataFrame({"u": keys[root[moved]], "v": keys[moved]}))
-        return pd.concat(out) if out else pd.DataFrame({"u": [], "v": []}, dtype=object)
+            root = _similar_forest(m, left, right, least, first[name])
+            moved = np.flatnonzero(root[first] != first)  # one edge for a label that was joined to another
+            out.append(pd.DataFrame({"u": labels[root[first[moved]]], "v": names[moved]}))
+        return pd.concat(out) if out else pd.DataFrame({"u": [], "v": []}, dtype="int64")
 
     return compare
 
@@ -284,63 +286,131 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*kept, found], names=["key", "component", "size", "copies", "hashes"])
 
 
-def _descend(sets: DataFrame, starts: np.ndarray, threshold: float, least: float) -> tuple[DataFrame, DataFrame]:
-    """One run from each of ``starts``: the edges found, and the keys of sets in buckets that were split."""
+def _descend(sets: DataFrame, starts: np.ndarray, threshold: float, least: float) -> tuple[DataFrame | None, DataFrame | None]:
+    """One run from each of ``starts`` over sets (key, sketch, label): the edges (u, v) found between different labels, and the
+    keys of sets in buckets that were split. A bucket of one label has nothing to tell and ends there."""
 
     def first_levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1 << 20):
-            keys = batch.column("key")
+            keys, labels = batch.column("key"), batch.column("label")
             tokens = _tokens(np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint32).reshape(-1, SKETCH))
             for start in starts:
                 row, path = np.arange(len(tokens)), np.full(len(tokens), start)
                 for _ in range(FIRST_DEPTH):
                     again, path = _step(path, tokens[row], threshold)
                     row = row[again]
-                yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), keys.take(pa.array(row))], names=["path", "key"])
+                row = pa.array(row)
+                yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), keys.take(row), labels.take(row)], names=["path", "key", "label"])
 
     def next_level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1 << 20):
             tokens = _tokens(np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint32).reshape(-1, SKETCH))
             row, path = _step(batch.column("path").to_numpy().view(np.uint64), tokens, threshold)
-            yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), batch.column("key").take(pa.array(row))], names=["path", "key"])
+            row = pa.array(row)
+            columns = [pa.array(path.view(np.int64)), batch.column("key").take(row), batch.column("label").take(row)]
+            yield pa.RecordBatch.from_arrays(columns, names=["path", "key", "label"])
 
     small_tasks = 64 * max(1, sets.sparkSession.sparkContext.defaultParallelism)
-    edges, split = [], None
-    level = materialise(sets.select("key", "sketch").mapInArrow(first_levels, "path long, key binary").distinct(), "paths")
+    schema = "path long, key binary, label long"
+    edges, split = None, None
+    level = materialise(sets.select("key", "sketch", "label").mapInArrow(first_levels, schema), "paths")
     for depth in range(FIRST_DEPTH, MAX_DEPTH + 1):
-        counts = level.groupBy("path").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-        met = materialise(level.join(counts, "path").join(sets.select("key", "sketch"), "key"), "met")
+        counts = level.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
+        counts = materialise(counts.where("low <> high").select("path", "size"), "buckets")
+        n_buckets = counts.count()
+        if not n_buckets:
+            break
+        hit = materialise(join_counted(level, counts, "path", n_buckets), "hits")
+        met = materialise(join_counted(sets.select("key", "sketch"), hit, "key"), "met")
         done = met if depth == MAX_DEPTH else met.where(F.col("size") <= BUCKET)
         dealt = _deal(done, "path", "size", SKETCH_BLOCK, small_tasks)
-        found = dealt.groupBy("task").applyInPandas(_sketch_forest(least), "u binary, v binary")
-        edges.append(found.distinct())
+        found = dealt.groupBy("task").applyInPandas(_sketch_forest(least), "u long, v long").distinct()
+        edges = found if edges is None else edges.unionByName(found)
         large = met.where(F.col("size") > BUCKET)
         if split is None:
             split = large.select("key").distinct()
         if depth == MAX_DEPTH or large.isEmpty():
             break
-        level = materialise(large.select("path", "key", "sketch").mapInArrow(next_level, "path long, key binary").distinct(), "paths")
-    out = edges[0]
-    for e in edges[1:]:
-        out = out.unionByName(e)
-    return out, split
+        level = materialise(large.select("path", "key", "label", "sketch").mapInArrow(next_level, schema), "paths")
+    return edges, split
+
+
+def _with_labels(sets: DataFrame, moved: DataFrame | None) -> DataFrame:
+    """Sets (key, sketch) with ``label``: a hash of the key, or where ``moved`` (node, component) has it, its component."""
+    named = sets.select("key", "sketch", F.xxhash64("key").alias("node"))
+    if moved is None:
+        return named.withColumnRenamed("node", "label")
+    split = probed(named, moved, "node")
+    found = split.where("possible").join(moved, "node", "left")
+    still = split.where("not possible").select("key", "sketch", F.col("node").alias("label"))
+    return found.select("key", "sketch", F.coalesce("component", "node").alias("label")).unionByName(still)
+
+
+def _contracted(sets: DataFrame, starts: np.ndarray, threshold: float, least: float, moved: DataFrame | None) -> tuple[DataFrame | None, DataFrame | None]:
+    """Labels (node, component) after runs from ``starts`` and before (``moved``), and the keys of sets in buckets that were split.
+
+    What runs join gets one label, and later runs look only for edges between labels."""
+    edges, split = _descend(_with_labels(sets, moved), starts, threshold, least)
+    if edges is None:
+        return moved, split
+    merged = connected_components(edges)
+    if moved is not None:
+        # labels joined now take their members along
+        renamed = moved.join(merged.withColumnRenamed("component", "newer"), moved["component"] == merged["node"], "left").select(
+            moved["node"], F.coalesce("newer", moved["component"]).alias("component")
+        )
+        merged = renamed.unionByName(merged).dropDuplicates(["node"])
+    return materialise(merged, "moved"), split
 
 
-def candidate_edges(sets: DataFrame, threshold: float, recall: float) -> DataFrame:
-    """(u, v): a forest over the sets (key, sketch) that met in a bucket with similar sketches.
+def _thinned(sets: DataFrame, moved: DataFrame) -> DataFrame | None:
+    """``sets`` with only about ``LEADERS`` members of every component of more than ``BUCKET``; None if there is no such component."""
+    large = moved.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BUCKET)
+    members = materialise(moved.join(large, "component").select("node", "n"), "large-components")
+    if members.isEmpty():
+        return None
+    split = probed(sets.select("key", "sketch", F.xxhash64("key").alias("node")), members, "node")
+    found = split.where("possible").join(members, "node", "left")
+    leads = F.col("n").isNull() | (F.pmod(F.xxhash64("key", F.lit("leader")), F.col("n")) < LEADERS)
+    return split.where("not possible").select("key", "sketch").unionByName(found.where(leads).select("key", "sketch"))
+
+
+def candidate_groups(sets: DataFrame, threshold: float, recall: float) -> DataFrame:
+    """(key, component) of the sets (key, sketch) that met in a bucket with similar sketches, directly or through others.
 
     A pair is lost if it never meets at the first depth in the first runs, or if its buckets there were split and it never meets
     at the last depth in all runs: half of what the recall allows goes to either, pairs whose sketches agree too little included.
-    Only sets of split buckets need the further runs."""
+    Only sets of split buckets need the further runs. Components are 64-bit numbers; should two fall on one number, their
+    sets are compared with each other for nothing."""
     half, agreeing = (1 + recall) / 2, least_agreeing(recall, threshold)
     first = runs_needed(half, threshold, least=agreeing)
     starts = _seeds(3, max(first, runs_needed(half, threshold, MAX_DEPTH, agreeing)))
     least = agreeing / SKETCH
-    edges, split = _descend(sets, starts[:first], threshold, least)
-    if len(starts) == first or split.isEmpty():
-        return edges
-    crowded = materialise(sets.select("key", "sketch").join(split, "key", "left_semi"), "crowded")
-    return edges.unionByName(_descend(crowded, starts[first:], threshold, least)[0])
+    # One run shows what large groups of near copies there are. What else belongs to them is found by a few of their members in the further
+    # runs, so that these runs, which all sets take part in, have little to do with such groups.
+    moved, split = _contracted(sets, starts[:1], threshold, least, None)
+    thin = None if moved is None else _thinned(sets, moved)
+    if thin is not None:
+        moved, _ = _contracted(materialise(thin, "thinned"), starts[1:first], threshold, least, moved)
+    moved, more = _contracted(sets, starts[1:first], threshold, least, moved)
+    if more is not None:
+        split = more if split is None else split.unionByName(more)
+    if len(starts) > first and split is not None:
+        split = materialise(split.distinct(), "split")
+        if not split.isEmpty():
+            crowded = materialise(sets.select("key", "sketch").join(split, "key", "left_semi"), "crowded")
+            moved, _ = _contracted(crowded, starts[first:], threshold, least, moved)
+    if moved is None:
+        return sets.select("key", F.lit(0).cast("long").alias("component")).limit(0)
+    named = sets.select("key", F.xxhash64("key").alias("node"))
+    return only(named, moved, "node").join(moved, "node").select("key", "component")
+
+
+def candidate_edges(sets: DataFrame, threshold: float, recall: float) -> DataFrame:
+    """(u, v): the candidate groups as stars, one edge for every set but the first of a group."""
+    groups = materialise(candidate_groups(sets, threshold, recall), "groups")
+    first = groups.groupBy("component").agg(F.min("key").alias("u"))
+    return groups.join(first, "component").where("u <> key").select("u", F.col("key").alias("v"))
 
 
 def near_duplicates(
@@ -370,8 +440,7 @@ def near_duplicates(
         F.count(F.lit(1)).alias("copies"), F.min("text_key").alias("text_key"), F.first("sketch").alias("sketch")
     )
     sets = materialise(sets, "sets")
-    edges = materialise(candidate_edges(sets, threshold, recall), "candidates")
-    groups = connected_components(edges).select(F.col("node").alias("key"), "component")
+    groups = materialise(candidate_groups(sets, threshold, recall), "candidates")
     sizes = groups.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     wanted = materialise(
         groups.join(sizes, "component").join(sets.select("key", "copies", "text_key"), "key"), "members"
@@ -379,7 +448,7 @@ def near_duplicates(
     # one text for each member; copies collapse before the shuffle
     texts = rows.groupBy("text_key").agg(F.first("text").alias("text"))
     full = texts.join(wanted, "text_key").select("key", "component", "size", "copies", "text")
-    full = full.mapInArrow(_hashes, "key binary, component binary, size long, copies long, hashes binary")
+    full = full.mapInArrow(_hashes, "key binary, component long, size long, copies long, hashes binary")
     small_tasks = 64 * max(1, spark.sparkContext.defaultParallelism)
     dealt = _deal(full, "component", "size", BLOCK, small_tasks)
     found = dealt.groupBy("task").applyInPandas(_exact_links(threshold), "key binary, root binary, links long")
@@ -416,6 +485,6 @@ def drop_near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, recall: float = 0.999
 ) -> DataFrame:
     """One row of ``docs`` of every class of near duplicates, with all its columns."""
-    kept = near_duplicates(docs, id_col, text_col, threshold, recall).where("kept")
+    judged = near_duplicates(docs, id_col, text_col, threshold, recall)
     keys = {"_id": F.col(id_col), "_key": hash128(ascii_lower(text_of(text_col)))}
-    return keep_rows(docs, keys, kept.select(F.col("id").alias("_id"), F.col("text_key").alias("_key")))
+    return keep_rows(docs, keys, judged.select(F.col("id").alias("_id"), F.col("text_key").alias("_key"), "kept"))
