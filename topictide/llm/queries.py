@@ -46,6 +46,7 @@ def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        (F.size("spans") > 0).alias("repeated"),
     )
 
 

@@ -1,13 +1,16 @@
 """Suffix-array deduplication: remove every byte of a string of 400 bytes that starts somewhere else, too.
 
 Equal strings of 400 bytes have the same anchor, the smallest hash of a 200-byte substring in them. Every text is therefore cut
-into contexts, each all the 400-byte windows with one anchor, and only contexts whose anchor hash occurs twice go on. Equal
-contexts collapse; different ones of one anchor meet in a shard, whose suffix array is built by induced sorting; a
+into contexts, each all the 400-byte windows with one anchor, and only contexts whose anchor hash occurs twice go on, as digests; their
+bytes stay where they are. Contexts that are equal repeat as a whole. A window reaches 100 bytes or more beyond its anchor on one side at
+least, so of different contexts only those matter of which the anchor with 100 bytes to the left, or to the right, occurs in another
+one too. Their bytes are fetched once for each kind and meet in shards, whose suffix array is built by induced sorting; a
 window repeats if its permuted common prefix with a neighbour in suffix order reaches 400. Every window lies in one context
 only, so it never matches itself.
 
 Anchors with very many different contexts are split by the place of the anchor in the window: all windows of a narrower range of places share
-a longer core, whose hash becomes the key. At width 1 the core is the window and nothing is left to compare.
+a longer core, and only ranges whose core is in several contexts are split again. At width 1 the core is the window and nothing is left
+to compare. Digests alone are shuffled for that.
 """
 
 from __future__ import annotations
@@ -18,20 +21,23 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from topictide.llm.bloom import only, probed
 from topictide.llm.common import hash128, parts_for, slices, small_batches, text_of
 from topictide.llm.suffix_array import permuted_lcp, suffix_array
-from topictide.llm.url_filter import bloom_blocks, blocks_for, possible
 from topictide.session import materialise
 
 LENGTH = 400
 GRAM = 200
-WIDTHS = (LENGTH - GRAM + 1, 26, 1)  # places of the anchor that one key covers, level by level
-HOT = 1000  # different contexts of one key beyond which it is split
-SHARD = 2000  # contexts of a shard
-CHUNK = 4 << 20  # bytes of a text handled at once
+SIDE = (LENGTH - GRAM) // 2  # bytes that a window reaches beyond its anchor on one side at least
+WIDTHS = (26, 6, 1)  # places of the anchor that one core covers, level by level
+HOT = 1000  # different contexts of one anchor beyond which it is split
+SHARD = 500  # contexts of a shard
+FILTER_BITS = 1 << 26  # of the filter of anchors that occur twice (8 MB); a full one only lets more contexts pass
+CHUNK = 1 << 20  # bytes of a text handled at once
 _P = np.uint64(0x9E3779B97F4A7C15)
 _Q = np.uint64(0xC2B2AE3D27D4EB4F)
 _PLACE = np.uint64((1 << 24) - 1)
@@ -43,34 +49,43 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _power(k: int) -> np.uint64:
-    return np.uint64(pow(int(_P), k, 1 << 64))
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number modulo 2^64, and their inverses."""
+    up, down = np.full(n, _P), np.full(n, np.uint64(pow(int(_P), -1, 1 << 64)))
+    up[0] = down[0] = 1
+    return np.cumprod(up), np.cumprod(down)
 
 
-def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """64-bit hashes of all substrings of ``GRAM`` bytes, from hashes of doubling lengths."""
-    h = {1: _mix(data.astype(np.uint64) + np.uint64(1))}
-    size = 1
-    while size * 2 <= GRAM:
-        x = h[size]
-        h[size * 2] = x[:-size] * _power(size) + x[size:]
-        size *= 2
-    out, done = h[size], size
-    for part in sorted((k for k in h if (GRAM - size) & k), reverse=True):
-        tail = h[part][done : done + len(data) - done - part + 1]
-        out = out[: len(tail)] * _power(part) + tail
-        done += part
-    return _mix(out)
+class Substrings:
+    """64-bit hashes of substrings of ``data``, from running sums of its bytes times rising powers."""
 
+    def __init__(self, data: np.ndarray, powers: tuple[np.ndarray, np.ndarray]):
+        up, self.down = powers
+        values = _mix(np.arange(1, 257, dtype=np.uint64))
+        self.sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(values[data] * up[: len(data)], out=self.sums[1:])
 
-def contexts(data: np.ndarray, length: int = LENGTH) -> Iterator[tuple[int, int, int, int]]:
-    """(anchor hash, anchor, first window, last window) of every run of windows with one anchor.
+    def all(self, size: int) -> np.ndarray:
+        sums = self.sums[size:] - self.sums[:-size]
+        return _mix(sums * self.down[: len(sums)])
+
+    def at(self, starts: np.ndarray, size: int) -> np.ndarray:
+        return _mix((self.sums[starts + size] - self.sums[starts]) * self.down[starts])
+
+
+def contexts(
+    data: np.ndarray, length: int = LENGTH, sides: bool = False, powers: tuple[np.ndarray, np.ndarray] | None = None
+) -> Iterator[tuple[np.ndarray, ...]]:
+    """Arrays (anchor hash, anchor, first window, last window) of the runs of windows with one anchor; with ``sides`` also the
+    hashes of the anchor and ``SIDE`` bytes to the left and to the right, 0 where no window of the run holds them.
 
     The anchor of a window is the last of the smallest (40-bit) hashes in it. Long texts go chunk by chunk; chunks overlap by a window, so
     that each window is in one chunk, and a run that is cut there is two contexts with the same anchor."""
     width = length - GRAM + 1
+    powers = powers or _powers(CHUNK + length)
     for start in range(0, len(data) - length + 1, CHUNK):
-        h = gram_hashes(data[start : start + CHUNK + length - 1])
+        known = Substrings(data[start : start + CHUNK + length - 1], powers)
+        h = known.all(GRAM)
         place = np.arange(len(h), dtype=np.uint64)
         low = (h & ~_PLACE) | (_PLACE - place)
         size = 1
@@ -82,79 +97,124 @@ def contexts(data: np.ndarray, length: int = LENGTH) -> Iterator[tuple[int, int,
         anchor = (_PLACE - (low & _PLACE)).astype(np.int64)
         edges = np.r_[0, np.flatnonzero(np.diff(anchor)) + 1, len(anchor)]
         at = anchor[edges[:-1]]
-        for value, p, a, b in zip(h[at].view(np.int64).tolist(), (at + start).tolist(), (edges[:-1] + start).tolist(), (edges[1:] - 1 + start).tolist()):
-            yield value, p, a, b
+        first, last = edges[:-1], edges[1:] - 1
+        out = (h[at].view(np.int64), at + start, first + start, last + start)
+        if sides:
+            left, right = np.zeros((2, len(at)), np.uint64)
+            here = first <= at - SIDE
+            left[here] = known.at(at[here] - SIDE, GRAM + SIDE)
+            here = last >= at - SIDE
+            right[here] = known.at(at[here], GRAM + SIDE) ^ _P
+            out += (left.view(np.int64), right.view(np.int64))
+        yield out
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    powers = _powers(CHUNK + LENGTH)
     for batch in slices(batches):
         keys, hashes, firsts = [], [], []
         for key, text in zip(batch.column("key").to_pylist(), batch.column("data").to_pylist()):
             if len(text) >= LENGTH:
-                for h, _, first, _ in contexts(np.frombuffer(text, np.uint8)):
-                    keys.append(key)
+                for h, _, first, _ in contexts(np.frombuffer(text, np.uint8), powers=powers):
+                    keys += [key] * len(h)
                     hashes.append(h)
                     firsts.append(first)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.binary()), pa.array(hashes, pa.int64()), pa.array(firsts, pa.int64())], names=["key", "anchor", "first"]
-        )
+        none = [np.empty(0, np.int64)]
+        columns = [pa.array(keys, pa.binary()), pa.array(np.concatenate(hashes or none)), pa.array(np.concatenate(firsts or none))]
+        yield pa.RecordBatch.from_arrays(columns, names=["key", "anchor", "first"])
+
 
+def _bit_of(anchors: np.ndarray) -> np.ndarray:
+    return (_mix(anchors.view(np.uint64)) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
 
-CONTEXT = "anchor long, cid binary, key binary, base long, place long, bytes binary"
 
+def _bits(anchors: DataFrame) -> np.ndarray:
+    """The filter of the ``anchors``: one bit for each, at most ``FILTER_BITS``."""
 
-def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
-    names = ["anchor", "cid", "key", "base", "place", "bytes"]
-    columns = list(zip(*rows)) or [()] * len(names)
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = _bit_of(batch.column("anchor").to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array(np.left_shift(1, at & 63))], names=["word", "bit"])
+
+    words = anchors.select("anchor").mapInArrow(places, "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    found = words.toPandas()  # FILTER_BITS / 64 rows at most
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    out[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+    return out
+
+
+CONTEXT = "anchor long, cid binary, key binary, base long, size long, place long, left long, right long"
 
 
 def _cid(place: int, data: bytes) -> bytes:
     return hashlib.md5(place.to_bytes(4, "little") + data).digest()
 
 
-def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Contexts at the wanted first windows of a text."""
+def _digests(shared: Broadcast):
+    """Contexts whose anchors pass the filter, without their bytes."""
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, powers = shared.value, _powers(CHUNK + LENGTH)
+        kinds = [pa.int64(), pa.binary(), pa.binary(), *[pa.int64()] * 5]
+        names = [c.strip().split(" ")[0] for c in CONTEXT.split(",")]
+        for batch in slices(batches):
+            rows = []
+            for key, data in zip(batch.column("key").to_pylist(), batch.column("data").to_pylist()):
+                if len(data) < LENGTH:
+                    continue
+                for h, at, first, last, left, right in contexts(np.frombuffer(data, np.uint8), sides=True, powers=powers):
+                    bit = _bit_of(h)
+                    keep = np.flatnonzero((bits[bit >> 6] >> (bit & 63)) & 1)
+                    for a, p, f, e, x, y in zip(*(c[keep].tolist() for c in (h, at, first, last, left, right))):
+                        rows.append((a, _cid(p - f, data[f : e + LENGTH]), key, f, e - f + LENGTH, p - f, x or None, y or None))
+            columns = list(zip(*rows)) or [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+    return digest
+
+
+PART = "anchor long, cid binary, start long, place long, bytes binary"
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The wanted parts of texts."""
+    kinds, names = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary()], ["anchor", "cid", "start", "place", "bytes"]
     for batch in slices(batches, 1 << 20):
         rows = []
-        for key, data, firsts in zip(*(batch.column(c).to_pylist() for c in ("key", "data", "firsts"))):
-            wanted = set(firsts)
-            for h, p, first, last in contexts(np.frombuffer(data, np.uint8)):
-                if first in wanted:
-                    part = data[first : last + LENGTH]
-                    rows.append((h, _cid(p - first, part), key, first, p - first, part))
-                    if len(rows) == 4096:
-                        yield _rows(rows)
-                        rows = []
-        yield _rows(rows)
-
-
-def _narrow(width: int):
-    """Split contexts into ranges of ``width`` places of the anchor in the window."""
-
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for data, parts in zip(batch.column("data").to_pylist(), batch.column("parts").to_pylist()):
+            for x in parts:
+                at = x["base"] + x["start"]
+                rows.append((x["anchor"], x["cid"], x["start"], x["place"] - x["start"], data[at : x["base"] + x["stop"]]))
+                if len(rows) == 4096:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+                    rows = []
+        columns = list(zip(*rows)) or [()] * len(names)
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+
+def _cores(width: int):
+    """(core, anchor, cid, low): a hash of the bytes that all windows of a part share in which the anchor's place is in a range of
+    ``width``; of all ranges, or of those inside the ranges ``lows`` of the level before."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1 << 18):
             rows = []
-            for anchor, _, key, base, place, data in zip(*(c.to_pylist() for c in batch.columns)):
+            for anchor, cid, place, data, lows, before in zip(*(batch.column(c).to_pylist() for c in ("anchor", "cid", "place", "bytes", "lows", "before"))):
                 last = len(data) - LENGTH
-                for lo in range(0, WIDTHS[0], width):
-                    # windows that start at place - hi .. place - lo
-                    hi = lo + width - 1
-                    a, b = max(0, place - hi), min(last, place - lo)
-                    if a > b:
-                        continue
-                    core = data[max(place - lo, 0) : place - hi + LENGTH]
-                    named = hashlib.blake2b(core + lo.to_bytes(4, "little") + anchor.to_bytes(8, "little", signed=True), digest_size=8)
-                    part = data[a : b + LENGTH]
-                    new = int.from_bytes(named.digest(), "little", signed=True)
-                    rows.append((new, _cid(place - a, part), key, base + a, place - a, part))
-                if len(rows) >= 4096:
-                    yield _rows(rows)
-                    rows = []
-            yield _rows(rows)
-
-    return split
+                for base in lows:
+                    for low in range(base, base + before, width):
+                        # windows that start at place - high .. place - low
+                        high = min(low + width, base + before) - 1
+                        if max(0, place - high) > min(last, place - low):
+                            continue
+                        core = data[max(place - low, 0) : place - high + LENGTH]
+                        named = hashlib.blake2b(core + low.to_bytes(4, "little") + anchor.to_bytes(8, "little", signed=True), digest_size=16)
+                        rows.append((named.digest(), anchor, cid, low))
+            columns = list(zip(*rows)) or [()] * 4
+            kinds, names = [pa.binary(), pa.int64(), pa.binary(), pa.int32()], ["core", "anchor", "cid", "low"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+    return find
 
 
 def repeated_windows(parts: list[bytes]) -> list[np.ndarray]:
@@ -186,40 +246,73 @@ def spans_of(starts: np.ndarray) -> list[tuple[int, int]]:
 def _shard(rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.reset_index(drop=True)
     found = [spans_of(s) for s in repeated_windows(rows["bytes"].tolist())]
-    out = [(rows["anchor"][i], rows["cid"][i], a, b) for i, spans in enumerate(found) for a, b in spans]
+    out = [(rows["anchor"][i], rows["cid"][i], rows["start"][i] + a, rows["start"][i] + b) for i, spans in enumerate(found) for a, b in spans]
     return pd.DataFrame(out, columns=["anchor", "cid", "start", "stop"])
 
 
 SPANS = "anchor long, cid binary, start long, stop long"
 
 
-def _marks(found: DataFrame, level: int = 0) -> list[DataFrame]:
-    """(key, start, stop) from contexts; parts for the keys that are split further come from the next level."""
-    # bytes stay where they are: equal contexts are counted by their digest and one place of each is remembered
-    members = found.select("anchor", "cid", "key", "base", F.octet_length("bytes").cast("long").alias("size"))
-    different = members.groupBy("anchor", "cid").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "base")).alias("at"), F.max("size").alias("size")
-    )
-    different = materialise(different, "contexts")
-    counts = different.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("n_all")).where("n_all > 1")
-    counts = materialise(counts, "anchors")
-    last = level == len(WIDTHS) - 1
+def _meeting(different: DataFrame) -> DataFrame:
+    """(anchor, cid, key, base, start, stop, place): of contexts of which a side occurs in another one, the bytes of the windows there."""
+    ends = different.select("anchor", "cid", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("left").alias("end")), F.struct(F.lit(1).alias("side"), F.col("right").alias("end")))).alias("e"))
+    ends = ends.select("anchor", "cid", "e.side", "e.end").where("end is not null")
+    one = F.xxhash64("cid")
+    shared = ends.groupBy("end").agg(F.min(one).alias("a"), F.max(one).alias("b")).where("a <> b").select("end")
+    sides = only(ends, materialise(shared, "shared-ends"), "end").join(shared, "end").groupBy("anchor", "cid")
+    sides = sides.agg(F.min("side").alias("low"), F.max("side").alias("high"))
+    start = F.when(F.col("low") == 0, F.lit(0).cast("long")).otherwise(F.greatest(F.col("place") - SIDE, F.lit(0).cast("long")))
+    stop = F.when(F.col("high") == 1, F.col("size")).otherwise(F.least("size", F.col("place") - SIDE + LENGTH))
+    return different.join(sides, ["anchor", "cid"]).select("anchor", "cid", "at.key", "at.base", start.alias("start"), stop.alias("stop"), "place")
+
+
+def _hot_spans(parts: DataFrame) -> DataFrame:
+    """Spans of parts of very frequent anchors, from digests alone, range by range."""
+    whole = LENGTH - GRAM + 1
+    todo = parts.withColumn("lows", F.array(F.lit(0))).withColumn("before", F.lit(whole))
+    for width in WIDTHS:
+        cores = materialise(todo.mapInArrow(_cores(width), "core binary, anchor long, cid binary, low int"), "cores")
+        one = F.xxhash64("cid")
+        shared = cores.groupBy("core").agg(F.min(one).alias("a"), F.max(one).alias("b")).where("a <> b").select("core")
+        shared = materialise(shared, "shared-cores")
+        found = only(cores, shared, "core").join(shared, "core").groupBy("anchor", "cid").agg(F.collect_set("low").alias("lows"))
+        todo = parts.join(materialise(found, "ranges"), ["anchor", "cid"]).withColumn("before", F.lit(width))
+    # a window starts where the anchor's place is `low`; those of one context overlap
+    start = F.col("start") + F.col("place") - F.array_max("lows")
+    stop = F.col("start") + F.col("place") - F.array_min("lows") + LENGTH
+    return todo.select("anchor", "cid", start.alias("start"), stop.alias("stop"))
+
+
+def _marks(found: DataFrame, texts: DataFrame) -> DataFrame:
+    """(key, start, stop) of repeated ranges, from the contexts ``found`` of ``texts`` (key, data)."""
+    place = F.xxhash64("key", "base")
+    different = found.groupBy("anchor", "cid").agg(
+        F.min(place).alias("a"), F.max(place).alias("b"), F.min(F.struct("key", "base")).alias("at"),
+        *[F.max(c).alias(c) for c in ("size", "place", "left", "right")],
+    )
+    different = materialise(different.withColumn("copied", F.col("a") != F.col("b")).drop("a", "b"), "contexts")
     # copies of a context repeat as a whole
-    whole = different.where("n > 1").select("anchor", "cid", F.lit(0).cast("long").alias("start"), F.col("size").alias("stop"))
-    spans = whole
-    if not last:
-        meeting = different.join(counts.where((F.col("kinds") > 1) & (F.col("kinds") <= HOT)), "anchor")
-        meeting = materialise(meeting.select("anchor", "cid", "at.key", "at.base"), "meeting")
-        one = found.withColumn("shard", F.pmod(F.xxhash64("anchor", F.lit("shard")), F.lit(parts_for(meeting.count(), SHARD))))
-        one = _only(one, meeting, "key", "base", "anchor").join(meeting, ["anchor", "cid", "key", "base"])
-        spans = whole.unionByName(one.select("shard", "anchor", "cid", "bytes").groupBy("shard").applyInPandas(_shard, SPANS))
-    marks = members.join(spans, ["anchor", "cid"]).select("key", (F.col("base") + F.col("start")).alias("start"), (F.col("base") + F.col("stop")).alias("stop"))
-    out = [marks]
-    hot = counts.where(F.col("kinds") > HOT)
-    if not last and not hot.isEmpty():
-        split = found.join(hot.select("anchor"), "anchor").select(*[c.strip().split(" ")[0] for c in CONTEXT.split(",")])
-        out += _marks(materialise(split.mapInArrow(_narrow(WIDTHS[level + 1]), CONTEXT), "split"), level + 1)
-    return out
+    whole = different.where("copied").select("anchor", "cid", F.lit(0).cast("long").alias("start"), F.col("size").alias("stop"))
+    meeting = materialise(_meeting(different), "meeting")
+    wanted = meeting.groupBy("key").agg(F.collect_list(F.struct("anchor", "cid", "base", "start", "stop", "place")).alias("parts"))
+    parts = only(texts, meeting.select("key").distinct(), "key").join(wanted, "key").select("data", "parts").mapInArrow(_cut, PART)
+    parts = materialise(parts, "parts")
+    hot = meeting.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where(F.col("kinds") > HOT).select("anchor")
+    hot = materialise(hot, "hot-anchors")
+    common = only(parts, hot, "anchor").join(hot, "anchor")
+    rest = parts.join(F.broadcast(hot) if hot.count() <= 100_000 else hot, "anchor", "left_anti")
+    n_shards = parts_for(meeting.count(), SHARD)
+    rest = rest.withColumn("shard", F.pmod(F.xxhash64("anchor", F.lit("shard")), F.lit(n_shards)))
+    # a shard is much work for few bytes: by bytes Spark would put all of them into a few tasks
+    spans = rest.repartition(min(n_shards, 10_000), "shard").groupBy("shard").applyInPandas(_shard, SPANS)
+    if not hot.isEmpty():
+        spans = spans.unionByName(_hot_spans(materialise(common, "hot-parts")))
+    # what is covered as a whole needs no other span
+    found_spans = spans.join(different.where("copied").select("anchor", "cid"), ["anchor", "cid"], "left_anti")
+    found_spans = materialise(whole.unionByName(found_spans), "spans")
+    members = only(found.select("anchor", "cid", "key", "base"), found_spans, "anchor", "cid")
+    joined = members.join(found_spans, ["anchor", "cid"])
+    return joined.select("key", (F.col("base") + F.col("start")).alias("start"), (F.col("base") + F.col("stop")).alias("stop"))
 
 
 def _remove_marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,42 +350,26 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     copies = rows.where(F.octet_length("data") >= LENGTH).select("key", F.octet_length("data").cast("long").alias("stop"))
     copies = copies.groupBy("key", "stop").count().where("count > 1").select("key", F.lit(0).cast("long").alias("start"), "stop")
 
-    anchors = rows.select("key", "data").mapInArrow(_anchors, "key binary, anchor long, first long")
-    anchors = materialise(anchors, "text-anchors")
+    # one row of each text: of copies, which collapse before they are shuffled, and all others
+    split = probed(rows.select("key", "data"), materialise(copies, "copies"), "key")
+    once = split.where("possible").groupBy("key").agg(F.first("data").alias("data"))
+    texts = split.where("not possible").select("key", "data").unionByName(once)
+
+    anchors = texts.mapInArrow(_anchors, "key binary, anchor long, first long")
     # an anchor counts if it occurs at two places, copies of a text being one place
     place = F.xxhash64("key", "first")
     twice = anchors.groupBy("anchor").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("anchor")
-    twice = materialise(twice, "repeated-anchors")
-    wanted = _only(anchors, twice, "anchor").join(twice, "anchor").groupBy("key").agg(F.collect_set("first").alias("firsts"))
-    wanted = materialise(wanted, "wanted-anchors")
-
-    texts = _only(rows.select("key", "data"), wanted, "key").groupBy("key").agg(F.first("data").alias("data"))
-    found = materialise(texts.join(wanted, "key").select("key", "data", "firsts").mapInArrow(_extract, CONTEXT), "text-contexts")
-    marks = copies
-    for part in _marks(found):
-        marks = marks.unionByName(part)
+    bits = docs.sparkSession.sparkContext.broadcast(_bits(twice))
+    found = materialise(texts.mapInArrow(_digests(bits), CONTEXT), "text-contexts")
+    marks = copies.unionByName(_marks(found, texts))
     marks = marks.groupBy("key").agg(F.collect_set(F.struct("start", "stop")).alias("marks"))
     marks = materialise(marks, "text-marks")
 
-    probed = _probed(rows, marks, "key")
-    touched = probed.where("possible").join(marks, "key", "left").select("id", "data", "marks")
+    judged = probed(rows, marks, "key")
+    touched = judged.where("possible").join(marks, "key", "left").select("id", "data", "marks")
     removed = touched.mapInArrow(_remove_marked, f"id {kind}, n_bytes long, spans array<struct<start:long,stop:long>>, kept binary")
-    clean = probed.where("not possible").select(
+    clean = judged.where("not possible").select(
         "id", F.octet_length("data").cast("long").alias("n_bytes"),
         F.array().cast("array<struct<start:bigint,stop:bigint>>").alias("spans"), F.col("data").alias("kept"),
     )
     return removed.unionByName(clean).withColumnRenamed("id", id_col)
-
-
-def _probed(rows: DataFrame, wanted: DataFrame, *keys: str) -> DataFrame:
-    """``rows`` with ``possible``, false where the keys are not in ``wanted``: a Bloom filter of bounded size tells
-    most of them apart before any shuffle."""
-    digest = F.xxhash64(*keys)
-    n_blocks = blocks_for(wanted.count())
-    blocks = bloom_blocks(wanted.select(digest.alias("_digest")), n_blocks, "_digest")
-    return possible(rows.withColumn("_digest", digest), "_digest", blocks, n_blocks).drop("_digest")
-
-
-def _only(rows: DataFrame, wanted: DataFrame, *keys: str) -> DataFrame:
-    """Rows whose keys may be in ``wanted``."""
-    return _probed(rows, wanted, *keys).where("possible").drop("possible")
