@@ -61,11 +61,24 @@ def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets, np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
 
 
+COPIED = 1 << 20  # bytes copied by one set of scatter indices
+
+
 def _scatter(out: np.ndarray, at: np.ndarray, offsets: np.ndarray, data: np.ndarray) -> None:
-    """Copy segment i of ``data`` to position ``at[i]``."""
+    """Copy segment i of ``data`` to position ``at[i]``: short segments together, ``COPIED`` bytes at a time, long ones by themselves."""
     lengths = np.diff(offsets)
-    index = np.repeat(at - (offsets[:-1] - offsets[0]), lengths) + np.arange(offsets[-1] - offsets[0])
-    out[index] = data[offsets[0] : offsets[-1]]
+    for i in np.flatnonzero(lengths > COPIED):
+        out[at[i] : at[i] + lengths[i]] = data[offsets[i] : offsets[i + 1]]
+    short = np.flatnonzero(lengths <= COPIED)
+    ends = np.cumsum(lengths[short])
+    done, k = 0, 0
+    while k < len(short):
+        stop = max(k + 1, int(np.searchsorted(ends, done + COPIED, side="right")))
+        some = short[k:stop]
+        size = lengths[some]
+        within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        out[np.repeat(at[some], size) + within] = data[np.repeat(offsets[some], size) + within]
+        done, k = int(ends[stop - 1]), stop
 
 
 def _fill(out: np.ndarray, at: np.ndarray, constant: str) -> None:
