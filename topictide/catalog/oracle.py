@@ -359,6 +359,11 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, coalesce(n, -1) AS topic FROM merged LEFT JOIN numbered USING (slice_label, t)""", "centers",
     ),
     "j11_core_documents": sql("SELECT doc_id FROM core", "core"),
+    "j11_cosine_links": sql(
+        """, all_reach AS (SELECT DISTINCT a, a AS b FROM near UNION SELECT r.a, n.b FROM all_reach r JOIN near n ON n.a = r.b)
+        SELECT a AS doc_id, n_links, class_id FROM (SELECT a, count(*) - 1 AS n_links FROM near GROUP BY a)
+        JOIN (SELECT a, min(b) AS class_id FROM all_reach GROUP BY a) USING (a)""", "near",
+    ),
     "m7_density_topics": sql("SELECT doc_id, topic FROM density", "density"),
     "m7_grid_density_topics": sql(
         """SELECT doc_id, coalesce(topic, -1) AS topic FROM xy LEFT JOIN xy_component USING (doc_id)

@@ -12,7 +12,7 @@ from topictide.catalog.inputs import r6, with_label
 from topictide.functions import text as T
 from topictide.functions import vectors as V
 from topictide.functions.dates import parse_date, slice_label, slice_start, year_month
-from topictide.operators import density, embedding, grid_density, hierarchy, intervals, kmeans, lda, slicing, staging, topics, trend
+from topictide.operators import density, embedding, grid_density, hierarchy, intervals, kmeans, lda, similarity, slicing, staging, topics, trend
 from topictide.operators import keywords as K
 from topictide.plans.config import RunConfig, fingerprint
 from topictide.plans import runs
@@ -556,6 +556,12 @@ def j11_core_documents(spark, sf_dir):
     return density.core_documents(_weights(spark, sf_dir), DENSITY).select("doc_id")
 
 
+@query
+def j11_cosine_links(spark, sf_dir):
+    """How many documents of its month a document is similar to, and its class of similar documents."""
+    return similarity.cosine_links(_weights(spark, sf_dir), DENSITY.cosine).select("doc_id", "n_links", "class_id")
+
+
 @query
 def m7_density_topics(spark, sf_dir):
     docs = slicing.with_slice(I.documents(spark, sf_dir), "monthly")
