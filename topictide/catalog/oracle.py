@@ -91,6 +91,7 @@ STEPS: dict[str, str] = {
     "link": "SELECT a, b FROM near WHERE a IN (SELECT doc_id FROM core) AND b IN (SELECT doc_id FROM core)",
     "reach": "SELECT doc_id AS a, doc_id AS b FROM core UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b",
     "component": "SELECT a AS doc_id, min(b) AS root FROM reach GROUP BY a",
+    "near_reach": "SELECT a, a AS b FROM near GROUP BY a UNION SELECT r.a, n.b FROM near_reach r JOIN near n ON n.a = r.b",
     "dense": """SELECT slice_label, root, row_number() OVER (PARTITION BY slice_label ORDER BY count(*) DESC, min(doc_id)) - 1 AS topic
         FROM component JOIN labels USING (doc_id) GROUP BY slice_label, root HAVING count(*) >= 5""",
     "density": """SELECT doc_id, slice_label, coalesce(topic, -1) AS topic FROM labels l0 LEFT JOIN component USING (doc_id)
@@ -122,7 +123,7 @@ _NEEDS = {
     "terms": ["ctfidf"], "trend_terms": ["terms"], "trend_text": ["trend_terms"],
     "weights": ["stats", "totals"], "full_weights": ["stats", "totals"], "sums": ["weights", "labels"],
     "centers": ["sums"], "reps": ["centers"], "near": ["full_weights"], "core": ["near"], "link": ["core"],
-    "reach": ["link"], "component": ["reach"], "dense": ["component", "labels"], "density": ["dense"],
+    "reach": ["link"], "component": ["reach"], "near_reach": ["near"], "dense": ["component", "labels"], "density": ["dense"],
     "xy_near": ["xy"], "xy_core": ["xy_near"], "xy_reach": ["xy_core"], "xy_component": ["xy_reach"], "xy_topic": ["xy_component"],
     "sparse_labels": ["docs"], "weeks2024": ["docs"],
 }
@@ -146,7 +147,7 @@ def sql(body: str, *steps: str) -> str:
         f"{name}{'(a, b)' if name.endswith('reach') else ''} AS {'MATERIALIZED ' if name in shared else ''}({STEPS[name]})"
         for name in STEPS if name in needed
     ]
-    recursive = "RECURSIVE " if needed & {"reach", "xy_reach"} else ""
+    recursive = "RECURSIVE " if needed & {"reach", "xy_reach", "near_reach"} else ""
     return f"WITH {recursive}{', '.join(parts)} {body}"
 
 
@@ -360,9 +361,8 @@ ORACLE: dict[str, str] = {
     ),
     "j11_core_documents": sql("SELECT doc_id FROM core", "core"),
     "j11_cosine_links": sql(
-        """, all_reach AS (SELECT DISTINCT a, a AS b FROM near UNION SELECT r.a, n.b FROM all_reach r JOIN near n ON n.a = r.b)
-        SELECT a AS doc_id, n_links, class_id FROM (SELECT a, count(*) - 1 AS n_links FROM near GROUP BY a)
-        JOIN (SELECT a, min(b) AS class_id FROM all_reach GROUP BY a) USING (a)""", "near",
+        """SELECT a AS doc_id, n_links, class_id FROM (SELECT a, count(*) - 1 AS n_links FROM near GROUP BY a)
+        JOIN (SELECT a, min(b) AS class_id FROM near_reach GROUP BY a) USING (a)""", "near_reach",
     ),
     "m7_density_topics": sql("SELECT doc_id, topic FROM density", "density"),
     "m7_grid_density_topics": sql(
