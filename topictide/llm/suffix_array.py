@@ -1,7 +1,10 @@
 """Suffix arrays by induced sorting, and permuted longest common prefixes, for one shard of bytes.
 
-The first level works bucket by bucket with numpy: all suffixes of a bucket that are known induce their predecessors
-at once. The reduced strings of the recursion are short but have many symbols, so they are sorted one by one.
+Suffixes are S-type if they are smaller than their successor, else L-type. Behind an L-type suffix its symbols run on as L-type ones up to the
+next leftmost-smaller position, so the order of those induces the order of all L-type suffixes, and that the order of the S-type
+ones. A first pass with equal ranks names the leftmost-smaller substrings; if names repeat, the string of names is sorted by the
+same method. All suffixes of a type are ordered together with numpy: by one more symbol of their runs at a time, and only where
+they are still equal.
 """
 
 from __future__ import annotations
@@ -22,163 +25,73 @@ def _types(t: np.ndarray) -> np.ndarray:
     return s
 
 
-def _induce(t: np.ndarray, s: np.ndarray, lms: np.ndarray, size: int) -> np.ndarray:
-    """The suffix array induced from sorted leftmost-smaller positions."""
+def _order(t: np.ndarray, members: np.ndarray, ends: np.ndarray, kind: int, last: np.ndarray) -> np.ndarray:
+    """Ranks of suffixes of one type (0: L, 1: S), equal ones of equal suffixes: by their symbols up to the place where their run of that type
+    ends, then by the rank in ``last`` of that place. A rank is the number of smaller members."""
+    runs = ends - members
+    _, group = np.unique(t[members], return_inverse=True)
+    sizes = np.bincount(group)
+    rank = (np.cumsum(sizes) - sizes)[group]
+    active = np.flatnonzero(sizes[group] > 1)
+    k = 1
+    while len(active):
+        # members of one rank have had the same symbols and types so far, so their runs end together
+        r = runs[active]
+        symbol = t[np.minimum(members[active] + k, len(t) - 1)]
+        value = np.where(k > r, last[ends[active]], 2 * symbol + np.where(k < r, kind, 1 - kind))
+        order = np.lexsort((value, rank[active]))
+        active, value = active[order], value[order]
+        before = rank[active]
+        head = np.r_[True, before[1:] != before[:-1]]
+        new = head | np.r_[True, value[1:] != value[:-1]]
+        at = np.arange(len(active))
+        rank[active] = before + np.maximum.accumulate(np.where(new, at, 0)) - np.maximum.accumulate(np.where(head, at, 0))
+        alone = new & np.r_[new[1:], True]
+        active = active[~alone]
+        active = active[runs[active] >= k]
+        k += 1
+    return rank
+
+
+def _induce(t: np.ndarray, s: np.ndarray, rho: np.ndarray) -> np.ndarray:
+    """Ranks of all suffixes within their type, from ranks ``rho`` of the leftmost-smaller ones. The sentinel has rank 0."""
     n = len(t)
-    counts = np.bincount(t, minlength=size)
-    ends = np.cumsum(counts)
-    heads = ends - counts
-    sa = np.full(n, -1, np.int64)
-    seeds = [lms[lo:hi] for lo, hi in _runs(t[lms], size)]
-
-    def place(found: np.ndarray, to: list[list[np.ndarray]], kind: bool) -> None:
-        before = found[found > 0] - 1
-        before = before[s[before] == kind]
-        symbols = t[before]
-        order = np.argsort(symbols, kind="stable")
-        before, symbols = before[order], symbols[order]
-        edges = np.r_[0, np.flatnonzero(np.diff(symbols)) + 1, len(symbols)] if len(symbols) else []
-        for lo, hi in zip(edges[:-1], edges[1:]):
-            to[symbols[lo]].append(before[lo:hi])
-
-    larger: list[list[np.ndarray]] = [[] for _ in range(size)]
-    for c in range(size):
-        if not counts[c]:
-            continue
-        done = 0
-        while done < len(larger[c]):  # a run of one symbol induces into its own bucket
-            wave = larger[c][done]
-            done += 1
-            place(wave, larger, False)
-        if len(seeds[c]):
-            place(seeds[c], larger, False)
-    smaller: list[list[np.ndarray]] = [[] for _ in range(size)]
-    for c in range(size - 1, -1, -1):
-        if not counts[c]:
-            continue
-        done = 0
-        while done < len(smaller[c]):
-            wave = smaller[c][done]
-            done += 1
-            place(wave, smaller, True)
-        big = np.concatenate(larger[c]) if larger[c] else np.empty(0, np.int64)
-        if len(big):
-            place(big[::-1], smaller, True)
-        small = np.concatenate(smaller[c])[::-1] if smaller[c] else np.empty(0, np.int64)
-        sa[heads[c] : heads[c] + len(big)] = big
-        sa[ends[c] - len(small) : ends[c]] = small
-    sa[0] = n - 1  # the sentinel has no successor that could induce it
-    return sa
-
-
-def _runs(symbols: np.ndarray, size: int) -> list[tuple[int, int]]:
-    """Ranges of each symbol in a sequence sorted by symbol."""
-    at = np.searchsorted(symbols, np.arange(size + 1))
-    return list(zip(at[:-1], at[1:]))
-
-
-def _names(t: np.ndarray, s: np.ndarray, lms: np.ndarray, ordered: np.ndarray) -> tuple[np.ndarray, int]:
-    """Names of the leftmost-smaller substrings at ``lms`` in the order of ``ordered``; equal substrings share one."""
-    n = len(t)
-    length = np.ones(n, np.int64)
-    length[lms[:-1]] = np.diff(lms) + 1
-    a, b = ordered[:-1], ordered[1:]
-    equal = length[a] == length[b]
-    left, right, sizes = a[equal], b[equal], length[a[equal]]
-    # compare all pairs of one length symbol by symbol, in one gather
-    step = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    i, j = np.repeat(left, sizes) + step, np.repeat(right, sizes) + step
-    differs = (t[i] != t[j]) | (s[i] != s[j])
-    if len(sizes):
-        equal[np.flatnonzero(equal)] = ~np.logical_or.reduceat(differs, np.cumsum(sizes) - sizes)
-    names = np.empty(n, np.int64)
-    names[ordered] = np.cumsum(np.r_[0, ~equal])
-    return names[lms], int((~equal).sum()) + 1
-
-
-def _small(t: list[int], size: int) -> list[int]:
-    """The same method for a reduced string, symbol by symbol."""
+    place = np.arange(n)
+    next_s = np.minimum.accumulate(np.where(s, place, n)[::-1])[::-1]
+    next_l = np.minimum.accumulate(np.where(s, n, place)[::-1])[::-1]
+    rank = np.zeros(n, np.int64)
+    larger, smaller = np.flatnonzero(~s), np.flatnonzero(s[:-1])
+    rank[larger] = _order(t, larger, next_s[larger], 0, rho)
+    rank[smaller] = _order(t, smaller, next_l[smaller], 1, rank) + 1
+    return rank
+
+
+def suffix_array(t: np.ndarray) -> np.ndarray:
+    """Suffix array of a string of non-negative numbers that ends in its only 0."""
     n = len(t)
     if n == 1:
-        return [0]
-    s = [False] * n
-    s[-1] = True
-    for i in range(n - 2, -1, -1):
-        s[i] = t[i] < t[i + 1] or (t[i] == t[i + 1] and s[i + 1])
-    lms = [i for i in range(1, n) if s[i] and not s[i - 1]]
-    counts = [0] * size
-    for c in t:
-        counts[c] += 1
-    heads, ends, total = [], [], 0
-    for c in counts:
-        heads.append(total)
-        total += c
-        ends.append(total)
-
-    def induce(seeds: list[int]) -> list[int]:
-        sa = [-1] * n
-        tail = ends[:]
-        for i in reversed(seeds):
-            tail[t[i]] -= 1
-            sa[tail[t[i]]] = i
-        head = heads[:]
-        for k in range(n):
-            j = sa[k] - 1
-            if j >= 0 and not s[j]:
-                sa[head[t[j]]] = j
-                head[t[j]] += 1
-        tail = ends[:]
-        for k in range(n - 1, -1, -1):
-            j = sa[k] - 1
-            if j >= 0 and s[j]:
-                tail[t[j]] -= 1
-                sa[tail[t[j]]] = j
-        return sa
-
-    known = set(lms)
-    ordered = [i for i in induce(lms) if i in known]
-    stop = dict(zip(lms, lms[1:]))
-    name, last, names = -1, None, {}
-    for i in ordered:
-        end = stop.get(i, n - 1)
-        here = (t[i : end + 1], s[i : end + 1])
-        if here != last:
-            name += 1
-            last = here
-        names[i] = name
-    reduced = [names[i] for i in lms]
-    if name + 1 < len(lms):
-        order = _small(reduced, name + 1)
-    else:
-        order = [0] * len(lms)
-        for k, c in enumerate(reduced):
-            order[c] = k
-    return induce([lms[k] for k in order])
-
-
-def suffix_array(t: np.ndarray, size: int) -> np.ndarray:
-    """Suffix array of a string over 0..size-1 that ends in its only 0."""
-    if len(t) == 1:
         return np.zeros(1, np.int64)
     s = _types(t)
     lms = np.flatnonzero(s & np.r_[False, ~s[:-1]])
-    seeds = lms[np.argsort(t[lms], kind="stable")]
-    first = _induce(t, s, seeds, size)
-    is_lms = np.zeros(len(t), bool)
-    is_lms[lms] = True
-    ordered = first[is_lms[first]]
-    names, n_names = _names(t, s, lms, ordered)
-    if n_names < len(lms):
-        order = np.array(_small(names.tolist(), n_names), np.int64)
-    else:
-        order = np.argsort(names)
-    return _induce(t, s, lms[order], size)
-
-
-def permuted_lcp(t: np.ndarray, sa: np.ndarray, most: int, restart: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    rho = np.zeros(n, np.int64)
+    different, names = np.unique(_induce(t, s, rho)[lms], return_inverse=True)
+    order = suffix_array(names.astype(np.int64)) if len(different) < len(lms) else np.argsort(names)
+    rho[lms[order]] = np.arange(len(lms))
+    rank = _induce(t, s, rho)
+    larger, smaller = np.flatnonzero(~s), np.flatnonzero(s)
+    # of one symbol the L-type suffixes come first
+    both = np.r_[larger[np.argsort(rank[larger], kind="stable")], smaller[np.argsort(rank[smaller], kind="stable")]]
+    return both[np.argsort(t[both], kind="stable")]
+
+
+def permuted_lcp(
+    t: np.ndarray, sa: np.ndarray, most: int, restart: np.ndarray, wanted: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """(phi, plcp): for every position its predecessor in suffix order and their common prefix, up to ``most``.
 
-    Only irreducible positions (and those in ``restart``) are compared; behind them a value falls by one per position."""
+    Only irreducible positions (and those in ``restart``) are compared; behind them a value falls by one per position. With a mask
+    ``wanted``, whose positions follow each ``restart`` without a gap, values are right where a position and its predecessor are in it, and
+    not above the right ones elsewhere."""
     n = len(t)
     phi = np.empty(n, np.int64)
     phi[sa[1:]] = sa[:-1]
@@ -186,7 +99,10 @@ def permuted_lcp(t: np.ndarray, sa: np.ndarray, most: int, restart: np.ndarray)
     fresh = np.ones(n, bool)
     fresh[1:] = (phi[1:] < 1) | (phi[:-1] != phi[1:] - 1) | (t[np.maximum(phi[1:] - 1, 0)] != t[:-1])
     fresh[restart] = True
-    at = np.flatnonzero(fresh & (phi >= 0))
+    compared = fresh & (phi >= 0)
+    if wanted is not None:
+        compared &= wanted & wanted[np.maximum(phi, 0)]
+    at = np.flatnonzero(compared)
     value = np.zeros(n, np.int64)
     padded = np.r_[t, np.arange(-1, -65, -1)]  # symbols behind the end equal nothing
     open_, off = at, 0

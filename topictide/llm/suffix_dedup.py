@@ -227,8 +227,12 @@ def repeated_windows(parts: list[bytes]) -> list[np.ndarray]:
     inside[-1] = False
     t[inside] = np.frombuffer(b"".join(parts), np.uint8).astype(np.int64) + 2
     t[-1] = 0
-    sa = suffix_array(t, 258)
-    phi, plcp = permuted_lcp(t, sa, int(sizes.max()) + 1, starts)
+    sa = suffix_array(t)
+    # only where windows start: what is shorter than one cannot reach its length
+    windows = np.zeros(len(t) + 1, np.int64)
+    np.add.at(windows, starts, 1)
+    np.add.at(windows, starts + np.maximum(sizes - LENGTH + 1, 0), -1)
+    phi, plcp = permuted_lcp(t, sa, int(sizes.max()) + 1, starts, np.cumsum(windows[:-1]) > 0)
     long = plcp >= LENGTH
     flag = long.copy()
     flag[phi[long]] = True
