@@ -1,5 +1,6 @@
 """Edges of the pipeline and of operators on pages, conversations and equal digests."""
 
+import os
 from collections import Counter
 
 import numpy as np
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from topictide.llm import chat_format, exact_dedup, url_filter
+from topictide.session import scratch
 
 
 def test_pipeline_chain_on_edges(spark, edge, none, sf_dir, tmp_path):
@@ -38,15 +40,12 @@ def test_each_pipeline_stage_on_edges(spark, edge, sf_dir):
         assert [o for o, _ in mine] == [0, *np.cumsum([n for _, n in mine])[:-1]] and sum(n for _, n in mine) <= 2048
 
 
-def test_pipeline_deletes_what_it_has_read(spark, sf_dir, tmp_path, monkeypatch):
+def test_pipeline_deletes_what_it_has_read(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(corpus_pipeline, "STAGES", corpus_pipeline.STAGES[1:3])
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
+    with scratch(spark, "test") as folder:
         rows = corpus_pipeline.run(spark, sf_dir)
-        assert [p.name.split("-")[1] for p in tmp_path.iterdir()] == ["ngram_jaccard_join"]
+        assert [name.split("-")[1] for name in os.listdir(folder)] == ["ngram_jaccard_join"]
         assert 0 < rows.count() < spark.read.parquet(f"{sf_dir}/documents.parquet").count()
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
 
 
 def test_texts_with_equal_digests_are_compared(spark, monkeypatch):
