@@ -160,8 +160,8 @@ def closest_pairs(vectors, n):
     return {tuple(g) for g in groups}
 
 
-@pytest.mark.parametrize("block", [256, 7])  # 7: rounds of nearest pairs, block against block, before a slice fits
-@pytest.mark.parametrize("n", [1, 4, 9])
+# blocks of 7: rounds of nearest pairs, block against block, before a slice fits
+@pytest.mark.parametrize("block,n", [(256, 1), (256, 9), (7, 4)])
 def test_merging_equals_closest_pairs(spark, monkeypatch, block, n):
     monkeypatch.setattr(agglomerate, "BLOCK", block)
     monkeypatch.setattr(agglomerate, "COLUMNS", 3)
