@@ -34,7 +34,6 @@ SKETCH = 64  # minwise values of a set
 BUCKET = 400  # larger buckets are split again ...
 FIRST_DEPTH = 2  # levels before buckets are looked at
 MAX_DEPTH = 4  # ... down to this depth and compared in blocks beyond it
-LEADERS = 64  # members of a large component that stand for it until the last runs
 SKETCH_BLOCK = 2048  # rows of a block of sketches; few blocks mean few roots, hence few edges
 BLOCK = 400  # rows of a block of whole sets
 HASHES = 1 << 20  # shingles compared at once
@@ -363,18 +362,6 @@ def _contracted(sets: DataFrame, starts: np.ndarray, threshold: float, least: fl
     return materialise(merged, "moved"), split
 
 
-def _thinned(sets: DataFrame, moved: DataFrame) -> DataFrame | None:
-    """``sets`` with only about ``LEADERS`` members of every component of more than ``BUCKET``; None if there is no such component."""
-    large = moved.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BUCKET)
-    members = materialise(moved.join(large, "component").select("node", "n"), "large-components")
-    if members.isEmpty():
-        return None
-    split = probed(sets.select("key", "sketch", F.xxhash64("key").alias("node")), members, "node")
-    found = split.where("possible").join(members, "node", "left")
-    leads = F.col("n").isNull() | (F.pmod(F.xxhash64("key", F.lit("leader")), F.col("n")) < LEADERS)
-    return split.where("not possible").select("key", "sketch").unionByName(found.where(leads).select("key", "sketch"))
-
-
 def candidate_groups(sets: DataFrame, threshold: float, recall: float) -> DataFrame:
     """(key, component) of the sets (key, sketch) that met in a bucket with similar sketches, directly or through others.
 
@@ -386,15 +373,15 @@ def candidate_groups(sets: DataFrame, threshold: float, recall: float) -> DataFr
     first = runs_needed(half, threshold, least=agreeing)
     starts = _seeds(3, max(first, runs_needed(half, threshold, MAX_DEPTH, agreeing)))
     least = agreeing / SKETCH
-    # One run shows what large groups of near copies there are. What else belongs to them is found by a few of their members in the further
-    # runs, so that these runs, which all sets take part in, have little to do with such groups.
-    moved, split = _contracted(sets, starts[:1], threshold, least, None)
-    thin = None if moved is None else _thinned(sets, moved)
-    if thin is not None:
-        moved, _ = _contracted(materialise(thin, "thinned"), starts[1:first], threshold, least, moved)
-    moved, more = _contracted(sets, starts[1:first], threshold, least, moved)
-    if more is not None:
-        split = more if split is None else split.unionByName(more)
+    # after the first few runs nearly all near copies have one label
+    moved, split, at = None, None, 0
+    for size in (1, 1, 3, first):
+        some = starts[at : min(at + size, first)]
+        at += len(some)
+        if len(some):
+            moved, more = _contracted(sets, some, threshold, least, moved)
+            if more is not None:
+                split = more if split is None else split.unionByName(more)
     if len(starts) > first and split is not None:
         split = materialise(split.distinct(), "split")
         if not split.isEmpty():
