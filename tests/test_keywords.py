@@ -30,6 +30,18 @@ def test_plain_tfidf(spark):
         K.tfidf_documents(bag(spark, "aa"), variant="other")
 
 
+def test_plain_scores_of_slices(spark):
+    docs = bag(spark, "aa bb", "aa cc cc", "", "cc dd dd ee")
+    weights = K.tfidf_documents(docs, variant="plain").groupBy("slice", "term").agg(F.sum("weight").alias("score"))
+    wanted = {r["term"]: pytest.approx(r["score"]) for r in weights.collect()}
+    scores = K.tfidf_slices(docs, variant="plain")
+    assert {r["term"]: r["score"] for r in scores.collect()} == wanted
+    assert {r["term"] for r in K.tfidf_slices(docs, 2, "plain").collect()} == {"aa", "cc"}
+    for rows in (scores, K.tfidf_documents(docs, variant="plain")):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert 0 < plan.index("Generate explode") < plan.index("aggregate(")  # a length is added up below the explode, once per document
+
+
 def test_rows_have_unit_length(spark):
     rows = K.tfidf_documents(bag(spark, "aa bb cc", "bb cc dd dd", "ee"), 3)
     norms = rows.groupBy("doc_id").agg(F.sum(F.col("weight") * F.col("weight")).alias("n")).collect()
