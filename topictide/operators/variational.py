@@ -21,14 +21,13 @@ BATCH_ENTRIES = 1 << 16  # terms of documents handled at once
 
 
 def digamma(x: np.ndarray) -> np.ndarray:
-    x = np.array(x, np.float64)
+    x = np.asarray(x, np.float64)
     out = np.zeros_like(x)
-    for _ in range(10):
-        small = x < 10
-        out[small] -= 1 / x[small]
-        x[small] += 1
-    y = 1 / (x * x)
-    return out + np.log(x) - 0.5 / x - y * (1 / 12 - y * (1 / 120 - y * (1 / 252 - y * (1 / 240 - y / 132))))
+    for i in range(10):
+        out -= 1 / (x + i)
+    z = x + 10
+    y = 1 / (z * z)
+    return out + np.log(z) - 0.5 / z - y * (1 / 12 - y * (1 / 120 - y * (1 / 252 - y * (1 / 240 - y / 132))))
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -56,21 +55,28 @@ def infer(rows: np.ndarray, counts: np.ndarray, sizes: np.ndarray, beta: np.ndar
     own = beta[rows]
     owner = np.repeat(np.arange(n), sizes)
     gamma = np.ones((n, k))
-    open_ = np.arange(n)
-    entry = np.arange(len(rows))
-    for _ in range(DOCUMENT_ROUNDS):
-        theta = np.exp(expected_log(gamma[open_]))
-        where = np.repeat(np.arange(len(open_)), sizes[open_])
-        b = own[entry]
-        norm = (theta[where] * b).sum(axis=1) + 1e-100
-        starts = np.cumsum(sizes[open_]) - sizes[open_]
-        new = alpha + theta * np.add.reduceat(b * (counts[entry] / norm)[:, None], starts)
-        change = np.abs(new - gamma[open_]).mean(axis=1)
-        gamma[open_] = new
-        still = change >= TOLERANCE
-        if not still.any():
-            break
-        open_, entry = open_[still], entry[still[where]]
+    starts = np.cumsum(sizes) - sizes
+    # documents of like length share a block, filled up with entries of count 0
+    width = 1 << np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64)
+    for w in np.unique(width):
+        docs = np.flatnonzero(width == w)
+        inside = np.arange(w)[None] < sizes[docs][:, None]
+        at = np.where(inside, starts[docs][:, None] + np.arange(w)[None], 0)
+        b, c = own[at], np.where(inside, counts[at], 0.0)
+        g, open_, live = np.ones((len(docs), k)), np.arange(len(docs)), np.ones(len(docs), bool)
+        for _ in range(DOCUMENT_ROUNDS):
+            theta = np.exp(expected_log(g[open_]))
+            norm = np.matmul(b, theta[:, :, None])[:, :, 0] + 1e-100
+            new = alpha + theta * np.matmul((c / norm)[:, None, :], b)[:, 0]
+            change = np.abs(new - g[open_]).mean(axis=1)
+            g[open_[live]] = new[live]
+            live &= change >= TOLERANCE
+            if not live.any():
+                break
+            if 4 * live.sum() < 3 * len(live):  # finished documents stay as they are until they go
+                open_, b, c = open_[live], b[live], c[live]
+                live = np.ones(len(open_), bool)
+        gamma[docs] = g
     log_theta = expected_log(gamma)
     theta = np.exp(log_theta)
     shares = theta[owner] * own
