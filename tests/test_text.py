@@ -98,3 +98,22 @@ def test_cleaning_matches_plain_python(spark, texts):
     out = apply(spark, texts, lambda c: T.clean_text(c, contractions=False))
     assert out == [walk(t) for t in texts]
     assert not any(ch in string.punctuation or ch in string.ascii_uppercase for t in out for ch in t)
+
+
+def test_contractions_between_any_blanks(spark):
+    texts = ["don't  can't\tit's ", " I’m\nwe'll (y'all) d'she's", "o'clock's 'tis rock'n'roll'd", "'", "", None, "it’sn't x'ren't_ won't'd"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    rows = df.select("t", T.expand_contractions(F.col("t")).alias("got"), T._expand_word(F.col("t")).alias("want")).collect()
+    assert all(r["got"] == r["want"] for r in rows) and rows[0]["got"] == "do not  cannot\tit is "
+
+
+def test_few_rows_at_a_time_for_python(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "10000")
+        T.nfkd(F.lit("é"))
+        assert int(spark.conf.get(name)) <= 1000
+        assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("bB")) <= 8 << 20
+    finally:
+        spark.conf.set(name, before)
