@@ -152,3 +152,15 @@ def test_incremental_staging(spark, tmp_path):
     writers.write_raw(intervals.assign_intervals(more, intervals.time_ranges(spark, 2024, 2024, "monthly")), raw)
     stage_new_files(*args).awaitTermination(120)
     assert spark.read.parquet(args[2]).count() == 41
+
+
+def test_files_are_bounded_by_their_text(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(writers, "FILE_BYTES", 10_000)
+    rows = [(f"{i}", "t" * 200, None, "2024-01-01", "a", "l", "2024-01-01", "2024-02-01") for i in range(1000)]
+    names = "id string, title string, summary string, published string, authors string, link string, start string, end string"
+    df = spark.createDataFrame(rows, names)
+    df = df.withColumns({"start": F.col("start").cast("timestamp"), "end": F.col("end").cast("timestamp")})
+    writers.write_raw(df, str(tmp_path / "raw"))
+    sizes = [f.stat().st_size for f in (tmp_path / "raw").rglob("*.csv")]
+    assert len(sizes) >= 10 and max(sizes) < 60_000
+    assert readers.read_raw(spark, str(tmp_path / "raw")).count() == 1000

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
+from pyspark.sql.types import ArrayType, StringType
 
 from topictide.functions import text as T
 from topictide.operators.staging import RAW_FIELDS
+from topictide.session import materialise
 from topictide.sources.readers import CSV_OPTIONS
 
 
@@ -22,25 +23,37 @@ def flat_arrays(df: DataFrame, separator: str = ", ") -> DataFrame:
     return df.select(*flat)
 
 
-# Rows per file when a table is clustered by its folders.
+# Rows and bytes of text per file when a table is clustered by its folders. A task reads a file with line breaks in its fields whole.
 FILE_ROWS = 200_000
+FILE_BYTES = 64 << 20
 
 
-def clustered(df: DataFrame, keys: list[str], per_file: int = FILE_ROWS) -> DataFrame:
-    """Rows gathered by folder, so that a folder gets one file per ``per_file`` rows and not one per task.
+def _folder_sizes(df: DataFrame, keys: list[str]) -> DataFrame:
+    """(_folder, _rows, _bytes): rows and bytes of text by folder."""
+    texts = [F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0)) for f in df.schema if isinstance(f.dataType, StringType)]
+    size = F.sum(sum(texts, F.lit(0).cast("long"))).alias("_bytes")
+    return df.groupBy(F.struct(*keys).alias("_folder")).agg(F.count("*").alias("_rows"), size)
 
-    Large folders are spread over as many tasks as they need files (their counts are one row per folder).
+
+def clustered(df: DataFrame, keys: list[str], per_file: int = FILE_ROWS, sizes: DataFrame | None = None) -> DataFrame:
+    """Rows gathered by folder, so that a folder gets one file per ``per_file`` rows or ``FILE_BYTES`` of text and not one per task.
+
+    Large folders are spread over as many tasks as they need files (their sizes are one row per folder).
     """
-    folder = F.struct(*keys)
-    sizes = df.groupBy(folder.alias("_folder")).agg(F.ceil(F.count("*") / per_file).alias("_files"))
+    sizes = _folder_sizes(df, keys) if sizes is None else sizes
+    files = F.ceil(F.greatest(F.col("_rows") / per_file, F.col("_bytes") / FILE_BYTES))
     salt = F.pmod(F.xxhash64(*df.columns), F.col("_files")).alias("_salt")
-    salted = df.withColumn("_folder", folder).join(sizes, "_folder").select(*df.columns, salt)
+    salted = df.withColumn("_folder", F.struct(*keys)).join(sizes.select("_folder", files.alias("_files")), "_folder").select(*df.columns, salt)
     return salted.repartition(*keys, "_salt").drop("_salt")
 
 
 def _replace(df: DataFrame, path: str, keys: list[str], mode: str, fmt: str, options: dict[str, str]) -> None:
     """Write folders by ``keys``. Mode ``replace`` overwrites the folders that ``df`` has rows for and no others."""
-    writer = clustered(df, keys).write.partitionBy(*keys).options(**options)
+    sizes = materialise(_folder_sizes(df, keys), "folder-sizes")
+    # a task may hold several parts of a folder, which would go into one file
+    rows, size = sizes.agg(F.sum("_rows"), F.sum("_bytes")).first()
+    limit = min(FILE_ROWS, max(1, rows * FILE_BYTES // size)) if size else FILE_ROWS
+    writer = clustered(df, keys, sizes=sizes).write.partitionBy(*keys).options(**options).option("maxRecordsPerFile", str(limit))
     if mode == "replace":
         writer, mode = writer.option("partitionOverwriteMode", "dynamic"), "overwrite"
     writer.format(fmt).mode(mode).save(path)
