@@ -52,3 +52,16 @@ def test_topics_of_bags_are_those_of_rows(spark, monkeypatch):
     for step in (topics.representative_docs, topics.document_topics, lambda w, t: topics.reduce_topics(w, t, 1)):
         both = [sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in step(w, labels).collect()) for w in (rows, K.weighted_bags(bag))]
         assert both[0] == both[1] and both[0]
+
+
+def test_short_stopword_table_shuffles_no_text(spark, monkeypatch):
+    stop = spark.createDataFrame([("The",), ("SAT",), (" cat",), (None,)], "word string")
+    docs = spark.createDataFrame([(JAN, 1, "the cat  sat"), (JAN, 1, None), (JAN, None, "sat")], "slice timestamp, doc_id long, text string")
+    found = K.without_stopwords(docs, stop)
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+    want = [(JAN, 1, "cat"), (JAN, 1, None), (JAN, None, "")]
+    assert sorted(map(str, found.collect())) == sorted(map(str, spark.createDataFrame(want, docs.schema).collect()))
+    monkeypatch.setattr(K, "STOPWORD_SET", 1)
+    long = K.without_stopwords(docs, stop)
+    assert "Join" in long._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(str, long.collect())) == sorted(map(str, found.collect()))
