@@ -210,3 +210,23 @@ def test_memberships_by_document_equal_those_by_join(spark):
     both = [sorted(topics.document_topics(weights, labels, centroid_rows=n).collect(), key=key) for n in (10**6, 0)]
     assert [key(r) for r in both[0]] == [key(r) for r in both[1]] and len(both[0]) == labels.count()
     assert [r["probability"] for r in both[0]] == pytest.approx([r["probability"] for r in both[1]], abs=1e-12)
+
+
+def test_lda_of_the_corpus_is_the_model_of_one_slice(spark):
+    s = lda.LdaSettings(n_topics=3, max_features=9, max_iter=5)
+    rng = np.random.default_rng(2)
+    texts = [" ".join(rng.choice([f"w{c}" for c in "abcdefghijkl"], 12)) for _ in range(40)] + ["", "x", None]
+    rows = [(datetime(2024, 1 + i % 3, 1), i // 2, text) for i, text in enumerate(texts)]  # ids come twice
+    docs = spark.createDataFrame(rows, "slice timestamp, doc_id long, text string").repartition(5)
+    topics_found, mixtures = lda.lda_corpus(docs, s)
+    whole = lda.fit_timesliced(K.corpus_wide(docs), s)
+    key = lambda r: (r["topic"], r["rank"])
+    found, want = sorted(topics_found.collect(), key=key), sorted(whole.topics.collect(), key=key)
+    assert [(*key(r), r["term"]) for r in found] == [(*key(r), r["term"]) for r in want] and len(found) == 27
+    assert np.allclose([r["score"] for r in found], [r["score"] for r in want])
+    shares = mixtures.collect()
+    assert sorted((r["slice"], r["doc_id"]) for r in shares) == sorted(r[:2] for r in rows)
+    mine, theirs = (sorted((r["doc_id"], *np.round(r["mixture"], 6).tolist()) for r in part) for part in (shares, whole.mixtures.collect()))
+    assert np.allclose(mine, theirs, atol=2e-6) and sum(sum(r["mixture"]) == 0 for r in shares) == 3
+    with pytest.raises(ValueError):
+        lda.lda_corpus(docs.where("text = ''"), s)

@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from datetime import datetime
 
 import numpy as np
-from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import CountVectorizerModel
-from pyspark.ml.functions import vector_to_array
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topictide.functions import text as T
 from topictide.operators import keywords as K
 from topictide.operators import variational
 from topictide.session import materialise
@@ -31,60 +29,6 @@ class LdaSettings:
     max_iter: int = 10
 
 
-def _estimator(s: LdaSettings) -> LDA:
-    # Every iteration sees all documents and replaces the previous estimate: the weight of a
-    # step is (offset + t) ** -decay, and Spark wants a decay above zero.
-    return LDA(
-        k=s.n_topics,
-        seed=s.seed,
-        maxIter=s.max_iter,
-        optimizer="online",
-        subsamplingRate=1.0,
-        learningDecay=1e-9,
-        optimizeDocConcentration=False,
-        docConcentration=[1.0 / s.n_topics] * s.n_topics,
-        topicConcentration=1.0 / s.n_topics,
-        featuresCol="features",
-    )
-
-
-def _tokenised(docs: DataFrame, stopwords: Iterable[str] | DataFrame | None) -> DataFrame:
-    docs = K.without_stopwords(docs, stopwords)
-    return docs.select("slice", "doc_id", T.tokens(F.col("text")).alias("tokens"))
-
-
-def _fit(rows: DataFrame, keep: list[str], s: LdaSettings) -> tuple[DataFrame, DataFrame, DataFrame] | None:
-    """Topics, mixtures and the cached vectors of (doc_id, tokens) rows; None without any token."""
-    spark = rows.sparkSession
-    bag = rows.select(
-        F.timestamp_seconds(F.lit(0)).alias("slice"), "doc_id", T.count_terms(F.col("tokens")).alias("terms")
-    )
-    # at most max_features words
-    vocab = sorted(r["term"] for r in K.vocabulary(bag, s.max_features).select("term").collect())
-    if not vocab:
-        return None
-    counter = CountVectorizerModel.from_vocabulary(vocab, inputCol="tokens", outputCol="features")
-    vectors = counter.transform(rows).select(*keep, "features").persist()
-    try:
-        model = _estimator(s).fit(vectors)
-    except Exception:
-        vectors.unpersist()
-        raise
-    words = F.array(*[F.lit(w) for w in vocab])
-    topics = (
-        model.describeTopics(TOP_WORDS)
-        .select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("_pos", "_t"))
-        .select(
-            "topic",
-            (F.col("_pos") + 1).alias("rank"),
-            F.get(words, F.col("_t.termIndices")).alias("term"),
-            F.col("_t.termWeights").alias("score"),
-        )
-    )
-    mixtures = model.transform(vectors).select(*keep, vector_to_array("topicDistribution").alias("mixture"))
-    return topics, mixtures, vectors
-
-
 # Numbers in a model that is fitted at once (a third of a gigabyte as broadcast, sums and new model); more slices go in groups.
 MODEL_NUMBERS = 1 << 23
 
@@ -177,19 +121,52 @@ def lda_timesliced(
     return fit.topics, fit.mixtures
 
 
+def _numbered_by(bag: DataFrame, words: list[str]) -> DataFrame:
+    """(slice, doc_id, slice_no, rows, counts): the documents of ``bag`` over the sorted ``words`` as one vocabulary."""
+    vocabulary = pa.array(words, pa.string())
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            terms = batch.column("terms")
+            sizes = pc.list_value_length(terms).fill_null(0).to_numpy()
+            flat = terms.flatten()
+            at = pc.index_in(pc.struct_field(flat, "term").cast(pa.string()), value_set=vocabulary)
+            known = pc.is_valid(at)
+            held = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[known.to_numpy(zero_copy_only=False)], minlength=len(sizes))
+            offsets = pa.array(np.r_[0, np.cumsum(held)].astype(np.int32))
+            rows = pa.ListArray.from_arrays(offsets, at.filter(known))
+            counts = pa.ListArray.from_arrays(offsets, pc.struct_field(flat, "tf").filter(known).cast(pa.float64()))
+            none = pa.array(np.zeros(len(sizes), np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column("slice"), batch.column("doc_id"), none, rows, counts], names=["slice", "doc_id", "slice_no", "rows", "counts"])
+
+    kinds = ", ".join(f"{c} {bag.schema[c].dataType.simpleString()}" for c in ("slice", "doc_id"))
+    return bag.select("slice", "doc_id", "terms").mapInArrow(number, f"{kinds}, slice_no int, rows array<int>, counts array<double>")
+
+
 def lda_corpus(
-    docs: DataFrame, settings: LdaSettings = LdaSettings(), stopwords: Iterable[str] | None = None
+    docs: DataFrame, settings: LdaSettings = LdaSettings(), stopwords: Iterable[str] | DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """One fit over all slices: topics (topic, rank, term, score), mixtures (slice, doc_id, mixture)."""
-    # read by the vocabulary, the fit and the mixtures
-    rows = materialise(_tokenised(docs, stopwords), "tokens")
-    fitted = _fit(rows, ["slice", "doc_id"], settings)
-    if fitted is None:
+    """One fit over all slices: topics (topic, rank, term, score), mixtures (slice, doc_id, mixture).
+
+    The model is that of ``fit_timesliced`` for a single slice of all documents; its words, at most ``max_features``, are known to every task, so
+    that documents are numbered where they are."""
+    s, k = settings, settings.n_topics
+    prior = 1.0 / k
+    # read by the vocabulary and by the numbering
+    bag = materialise(K.bags(docs, stopwords).select("slice", "doc_id", "terms"), "bags")
+    words = sorted(r["term"] for r in K.vocabulary(K.corpus_wide(bag), s.max_features).select("term").collect())
+    if not words:
         raise ValueError("the corpus holds no token")
-    topics, mixtures, vectors = fitted
-    stored = materialise(mixtures, "mixtures")
-    vectors.unpersist()
-    return topics, stored
+    own = materialise(_numbered_by(bag, words), "lda-rows")
+    full = own.where(F.size("rows") > 0)
+    model = variational.start_model([len(words)], [0], k, s.seed)
+    for _ in range(s.max_iter):
+        model, _ = variational.iterate(full, model, prior, prior)
+    part = model.weights / model.weights.sum(axis=0)
+    best = np.lexsort((np.broadcast_to(np.arange(len(words))[:, None], part.shape), -part), axis=0)[:TOP_WORDS]
+    topics = [(topic, r + 1, words[t], float(part[t, topic])) for topic in range(k) for r, t in enumerate(best[:, topic].tolist())]
+    mixed = materialise(variational.mixtures(own, model, prior, ["slice", "doc_id"]), "mixtures")
+    return docs.sparkSession.createDataFrame(topics, "topic int, rank int, term string, score double"), mixed
 
 
 def mean_mixture(mixtures: DataFrame) -> DataFrame:
