@@ -5,6 +5,8 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from topictide.catalog import inputs
+from topictide.catalog.queries import QUERIES
 from topictide.operators import keywords as K
 from topictide.operators import topics
 
@@ -65,3 +67,10 @@ def test_short_stopword_table_shuffles_no_text(spark, monkeypatch):
     long = K.without_stopwords(docs, stop)
     assert "Join" in long._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(map(str, long.collect())) == sorted(map(str, found.collect()))
+
+
+def test_topic_info_cleans_and_counts_texts_once(spark, sf_dir, monkeypatch):
+    calls, sliced = [], inputs.sliced
+    monkeypatch.setattr(inputs, "sliced", lambda *args: calls.append(args) or sliced(*args))
+    assert QUERIES["m11_topic_info"](spark, sf_dir).count() > 0
+    assert len(calls) == 1
