@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from topictide.llm import chat_format, jaccard_join, suffix_array, suffix_dedup, url_filter
@@ -150,6 +151,35 @@ def test_large_groups_of_near_copies_give_few_edges(spark, monkeypatch, n):
     assert sum(edges) < 3 * n, edges
 
 
+def test_only_rows_of_buckets_that_are_compared_are_joined(spark, monkeypatch):
+    # near copies, and others that share buckets with them but are not similar: their buckets are split in every run
+    rng = np.random.default_rng(7)
+    base = rng.integers(0, 1 << 32, jaccard_join.SKETCH, dtype=np.uint32)
+    rows = []
+    for i in range(1600):
+        sketch = base.copy()
+        other = rng.permutation(jaccard_join.SKETCH)[: 36 if i % 20 == 0 else 1]
+        sketch[other] = rng.integers(0, 1 << 32, len(other))
+        rows.append((int.to_bytes(i, 16), sketch.tobytes()))
+    sets = spark.createDataFrame(rows, "key binary, sketch binary").repartition(4)
+    joined, kept = [], jaccard_join.join_counted
+
+    def join(left, wanted, key, *rest):
+        out = kept(left, wanted, key, *rest)
+        if key == "path":
+            joined.append((out.count(), wanted.agg({"size": "sum"}).first()[0], wanted.agg({"size": "max"}).first()[0]))
+        return out
+
+    monkeypatch.setattr(jaccard_join, "join_counted", join)
+    monkeypatch.setattr(jaccard_join, "MAX_DEPTH", 3)
+    labelled = sets.select("*", F.xxhash64("key").alias("label"))
+    edges, split = jaccard_join._descend(sets, labelled, jaccard_join._seeds(3, 4), 0.8, 38 / 64)
+    assert edges.count() > 0 and 400 < split.count() < 1600
+    # one row for a set in a bucket; at the first depth only buckets that are not split
+    assert all(n == sizes for n, sizes, _ in joined) and len(joined) <= 2
+    assert joined[-1][2] > jaccard_join.BUCKET and all(most <= jaccard_join.BUCKET for _, _, most in joined[:-1])
+
+
 def test_recall_of_the_runs():
     assert jaccard_join.runs_needed(0.999, 0.8) > jaccard_join.runs_needed(0.9, 0.8) > 1
 

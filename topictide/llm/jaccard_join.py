@@ -285,53 +285,79 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*kept, found], names=["key", "component", "size", "copies", "hashes"])
 
 
-def _descend(sets: DataFrame, starts: np.ndarray, threshold: float, least: float) -> tuple[DataFrame | None, DataFrame | None]:
-    """One run from each of ``starts`` over sets (key, sketch, label): the edges (u, v) found between different labels, and the
-    keys of sets in buckets that were split. A bucket of one label has nothing to tell and ends there."""
-
-    def first_levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1 << 20):
-            keys, labels = batch.column("key"), batch.column("label")
-            tokens = _tokens(np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint32).reshape(-1, SKETCH))
-            for start in starts:
-                row, path = np.arange(len(tokens)), np.full(len(tokens), start)
-                for _ in range(FIRST_DEPTH):
-                    again, path = _step(path, tokens[row], threshold)
-                    row = row[again]
-                row = pa.array(row)
-                yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), keys.take(row), labels.take(row)], names=["path", "key", "label"])
-
-    def next_level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1 << 20):
-            tokens = _tokens(np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint32).reshape(-1, SKETCH))
-            row, path = _step(batch.column("path").to_numpy().view(np.uint64), tokens, threshold)
-            row = pa.array(row)
-            columns = [pa.array(path.view(np.int64)), batch.column("key").take(row), batch.column("label").take(row)]
-            yield pa.RecordBatch.from_arrays(columns, names=["path", "key", "label"])
-
-    small_tasks = 64 * max(1, sets.sparkSession.sparkContext.defaultParallelism)
-    schema = "path long, key binary, label long"
-    edges, split = None, None
-    level = materialise(sets.select("key", "sketch", "label").mapInArrow(first_levels, schema), "paths")
+def _paths(sketches: pa.Array, starts: np.ndarray, threshold: float, large: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each of ``starts`` (row, path) at the first depth, and below it for as many levels as ``large`` has sorted arrays of the
+    paths that are followed further."""
+    tokens = _tokens(np.frombuffer(b"".join(sketches.to_pylist()), np.uint32).reshape(-1, SKETCH))
+    for start in starts:
+        row, path = np.arange(len(tokens)), np.full(len(tokens), start)
+        for level in range(FIRST_DEPTH + len(large)):
+            if level >= FIRST_DEPTH:
+                row, path = _on(row, path, large[level - FIRST_DEPTH])
+            again, path = _step(path, tokens[row], threshold)
+            row = row[again]
+        yield row, path
+
+
+def _on(row: np.ndarray, path: np.ndarray, large: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Those (row, path) whose path is one of the sorted ``large``."""
+    here = large[np.minimum(np.searchsorted(large, path), len(large) - 1)] == path
+    return row[here], path[here]
+
+
+def _descend(sets: DataFrame, labelled: DataFrame, starts: np.ndarray, threshold: float, least: float) -> tuple[DataFrame | None, DataFrame | None]:
+    """One run from each of ``starts`` over ``sets`` (key, sketch), ``labelled`` (key, sketch, label) being the same: the edges (u, v) found
+    between different labels, and the keys of sets in buckets that were split. A bucket of one label has nothing to tell and ends there.
+
+    A bucket that is split is known by its path alone, of which the driver gets one for ``BUCKET`` rows at most. Its sets go on from
+    where their sketches are; only those of buckets that are compared are joined."""
+    context = sets.sparkSession.sparkContext
+
+    def levels(large: list[np.ndarray]):
+        def descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in slices(batches, 1 << 20):
+                for row, path in _paths(batch.column("sketch"), starts, threshold, large):
+                    row = pa.array(row)
+                    columns = [pa.array(path.view(np.int64)), batch.column("key").take(row), batch.column("label").take(row)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["path", "key", "label"])
+
+        return descend
+
+    def inside(large: np.ndarray):
+        def crowded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in slices(batches, 1 << 20):
+                kept = np.zeros(batch.num_rows, bool)
+                for row, path in _paths(batch.column("sketch"), starts, threshold, []):
+                    kept[_on(row, path, large)[0]] = True
+                yield batch.filter(pa.array(kept))
+
+        return crowded
+
+    small_tasks = 64 * max(1, context.defaultParallelism)
+    edges, crowd, large = None, None, []
+    labelled = labelled.select("key", "sketch", "label")
     for depth in range(FIRST_DEPTH, MAX_DEPTH + 1):
+        rows = labelled if crowd is None else crowd
+        level = materialise(rows.mapInArrow(levels(large), "path long, key binary, label long"), "paths")
         counts = level.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
         counts = materialise(counts.where("low <> high").select("path", "size"), "buckets")
-        n_buckets = counts.count()
-        if not n_buckets:
+        done = counts if depth == MAX_DEPTH else counts.where(F.col("size") <= BUCKET)
+        n_done = done.count()
+        if n_done:
+            hit = materialise(join_counted(level, done, "path", n_done), "hits")
+            met = join_counted(sets.select("key", "sketch"), hit, "key")
+            dealt = _deal(met, "path", "size", SKETCH_BLOCK, small_tasks)
+            found = dealt.groupBy("task").applyInPandas(_sketch_forest(least), "u long, v long").distinct()
+            edges = found if edges is None else edges.unionByName(found)
+        if depth == MAX_DEPTH:
             break
-        hit = materialise(join_counted(level, counts, "path", n_buckets), "hits")
-        met = materialise(join_counted(sets.select("key", "sketch"), hit, "key"), "met")
-        done = met if depth == MAX_DEPTH else met.where(F.col("size") <= BUCKET)
-        dealt = _deal(done, "path", "size", SKETCH_BLOCK, small_tasks)
-        found = dealt.groupBy("task").applyInPandas(_sketch_forest(least), "u long, v long").distinct()
-        edges = found if edges is None else edges.unionByName(found)
-        large = met.where(F.col("size") > BUCKET)
-        if split is None:
-            split = large.select("key").distinct()
-        if depth == MAX_DEPTH or large.isEmpty():
+        split = counts.where(F.col("size") > BUCKET).select("path").toPandas()["path"].to_numpy(np.int64)
+        if not len(split):
             break
-        level = materialise(large.select("path", "key", "label", "sketch").mapInArrow(next_level, schema), "paths")
-    return edges, split
+        large = [*large, np.sort(split.view(np.uint64))]
+        if crowd is None:
+            crowd = materialise(labelled.mapInArrow(inside(large[0]), "key binary, sketch binary, label long"), "crowd")
+    return edges, None if crowd is None else crowd.select("key")
 
 
 def _with_labels(sets: DataFrame, moved: DataFrame | None) -> DataFrame:
@@ -349,7 +375,7 @@ def _contracted(sets: DataFrame, starts: np.ndarray, threshold: float, least: fl
     """Labels (node, component) after runs from ``starts`` and before (``moved``), and the keys of sets in buckets that were split.
 
     What runs join gets one label, and later runs look only for edges between labels."""
-    edges, split = _descend(_with_labels(sets, moved), starts, threshold, least)
+    edges, split = _descend(sets, _with_labels(sets, moved), starts, threshold, least)
     if edges is None:
         return moved, split
     merged = connected_components(edges)
