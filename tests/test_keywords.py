@@ -134,3 +134,18 @@ def test_membership_without_topic_is_null(spark):
     labels = b.select("slice", "doc_id", F.lit(-1).alias("topic"))
     rows = topics.document_topics(K.tfidf_documents(b), labels).collect()
     assert [r["probability"] for r in rows] == [None, None]
+
+
+def test_class_tfidf_shuffles_the_counts_of_topics_once_more(spark):
+    rows = [(s, d, d % 3 if d != 4 else None, [(t, n)]) for s in (1, 2) for d, t, n in ((1, "a", 2), (1, "b", 1), (2, "a", 5), (3, "c", 4), (4, "a", 9), (5, "b", 3))]
+    bag = spark.createDataFrame(rows, "slice long, doc_id long, topic int, terms array<struct<term:string,tf:long>>")
+    scores = topics.class_tfidf(bag)
+    counts = {(1, "a"): 2, (1, "b"): 1, (2, "a"): 5, (2, "b"): 3, (0, "c"): 4}
+    words = {k: sum(n for (t, _), n in counts.items() if t == k) for k in range(3)}
+    want = {
+        (s, k, t): round(n / words[k] * math.log(1 + sum(words.values()) / 3 / sum(m for (_, u), m in counts.items() if u == t)), 9)
+        for s in (1, 2) for (k, t), n in counts.items()
+    }
+    assert {(r["slice"], r["topic"], r["term"]): round(r["score"], 9) for r in scores.collect()} == want
+    plan = scores._jdf.queryExecution().executedPlan().toString()
+    assert not any("Join" in line and "term" in line.split("Join", 1)[1].split("]")[0] for line in plan.splitlines())
