@@ -7,10 +7,11 @@ from array import array
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from topictide.llm import exact_dedup, language_id, mixing, packing, quality_classifier, quality_rules
+from topictide.llm import common, exact_dedup, language_id, mixing, packing, quality_classifier, quality_rules
 from topictide.llm import queries as Q
 
 
@@ -214,3 +215,33 @@ def test_mix_edges(edge, none):
     assert {r["language"] for r in rows} <= {"en", "de", "fr", "unknown"}
     assert mixing.mix(none).count() == 0
     assert mixing.mix(edge, share=0.9).select("row.*").columns == edge.columns
+
+
+def _resident() -> int:
+    with open("/proc/self/smaps_rollup") as f:
+        return next(int(line.split()[1]) for line in f if line.startswith("Pss_Anon:")) >> 10
+
+
+def test_released_tasks_leave_no_unused_memory():
+    def work(batches):
+        for batch in batches:
+            words = [f"{i}-{'x' * 600}" for i in range(300_000)]  # beyond the small objects that Python keeps in pools
+            held = pa.array(words)
+            peaks.append(_resident())
+            yield batch.slice(0, min(1, len(held)))
+
+    peaks, before = [], _resident()
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2])], names=["x"])
+    out = list(common.released(work)(iter([batch, batch])))
+    assert [b.num_rows for b in out] == [1, 1]
+    assert max(peaks) - before > 300
+    assert _resident() - before < 60
+
+
+def test_leaf_tables_start_no_python_workers(spark):
+    rows = [("web", "en", "src0", 1, 20, None), ("web", "de", "src1", 0, 7, -3)]
+    for some in (rows, []):
+        leaves = mixing._leaf_table(spark, some)
+        assert leaves.schema == mixing.CUTS
+        assert [tuple(r) for r in leaves.collect()] == some
+        assert "RDD" not in leaves._jdf.queryExecution().executedPlan().toString()

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from topictide.llm.bloom import join_counted, keep_rows, only, probed
-from topictide.llm.common import ascii_lower, hash128, slices, small_batches, text_of
+from topictide.llm.common import ascii_lower, hash128, released, slices, small_batches, text_of
 from topictide.operators.components import connected_components
 from topictide.session import materialise
 
@@ -447,7 +447,7 @@ def near_duplicates(
     rows = docs.select(F.col(id_col).alias("id"), ascii_lower(text_of(text_col)).alias("text"))
     rows = rows.select("id", "text", hash128(F.col("text")).alias("text_key"))
     kind = rows.schema["id"].dataType.simpleString()
-    known = rows.mapInArrow(_sketched, f"id {kind}, text_key binary, key binary, sketch binary")
+    known = rows.mapInArrow(released(_sketched), f"id {kind}, text_key binary, key binary, sketch binary")
     known = materialise(known, "sketched")
     sets = known.where("key is not null").groupBy("key").agg(
         F.count(F.lit(1)).alias("copies"), F.min("text_key").alias("text_key"), F.first("sketch").alias("sketch")
@@ -461,7 +461,7 @@ def near_duplicates(
     # one text for each member; copies collapse before the shuffle
     texts = rows.groupBy("text_key").agg(F.first("text").alias("text"))
     full = texts.join(wanted, "text_key").select("key", "component", "size", "copies", "text")
-    full = full.mapInArrow(_hashes, "key binary, component long, size long, copies long, hashes binary")
+    full = full.mapInArrow(released(_hashes), "key binary, component long, size long, copies long, hashes binary")
     small_tasks = 64 * max(1, spark.sparkContext.defaultParallelism)
     dealt = _deal(full, "component", "size", BLOCK, small_tasks)
     found = dealt.groupBy("task").applyInPandas(_exact_links(threshold), "key binary, root binary, links long")

@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Row
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 from pyspark.sql.window import Window
@@ -121,6 +122,13 @@ def _with_leaf(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sourc
 CUTS = StructType([*[StructField(c, StringType(), False) for c in LEVELS], *[StructField(c, LongType()) for c in ("epochs", "prefix", "cut")]])
 
 
+def _leaf_table(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """``rows`` of ``CUTS``. They go to Spark as Arrow: a list of rows would start Python workers of another kind on the executors."""
+    columns = list(zip(*rows)) or [()] * len(CUTS)
+    kinds = [pa.string() if isinstance(f.dataType, StringType) else pa.int64() for f in CUTS]
+    return spark.createDataFrame(pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=CUTS.fieldNames()), CUTS)
+
+
 def _join_leaves(rows: DataFrame, leaves: DataFrame, n_leaves: int) -> DataFrame:
     # one row per leaf of the weight tree: broadcast while that is small, else a join that can split hot leaves
     return rows.join(F.broadcast(leaves) if n_leaves <= 10_000 else leaves, list(LEVELS))
@@ -134,7 +142,7 @@ def _cuts(lean: DataFrame, total_tokens: int | None, share: float, mixture: Mixt
     available = sum(tokens.values())
     budgets = leaf_budgets(tokens, total_tokens if total_tokens is not None else int(share * available), mixture)
     rows = [(*leaf, *divmod(b, tokens[leaf]), None) for leaf, b in budgets.items() if b]
-    leaves = spark.createDataFrame(rows, CUTS)
+    leaves = _leaf_table(spark, rows)
 
     # narrow each leaf's prefix to one range of its order: 2^12 ranges at a time, until a range holds few documents
     at = _join_leaves(lean.drop("row") if "row" in lean.columns else lean, leaves.where("prefix > 0"), len(rows))
@@ -158,11 +166,11 @@ def _cuts(lean: DataFrame, total_tokens: int | None, share: float, mixture: Mixt
     cut = upto.where("upto <= room").groupBy(*LEVELS).agg(F.max("h").alias("last"))
     out = leaves.drop("cut").join(cut, list(LEVELS), "left")
     if floors is None:
-        floors = spark.createDataFrame([], StructType([*CUTS.fields[:3], StructField("floor", LongType())]))
+        floors = leaves.limit(0).select(*LEVELS, F.col("cut").alias("floor"))
     # nothing of the edge range fits: the prefix ends right before it
     out = out.join(floors, list(LEVELS), "left").withColumn("cut", F.coalesce("last", F.col("floor") - 1))
     found: list[Row] = out.select(*CUTS.fieldNames()).collect()
-    return spark.createDataFrame(found, CUTS)
+    return _leaf_table(spark, found)
 
 
 def mix(

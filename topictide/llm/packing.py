@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from topictide.llm.common import parts_for, slices, small_batches, text_of
+from topictide.llm.common import parts_for, released, slices, small_batches, text_of
 from topictide.session import materialise
 
 END_OF_DOCUMENT = 0
@@ -114,7 +114,7 @@ def cut_documents(
 
     rows = docs.select(F.col(id_col), text_of(text_col).alias("text"))
     kind = rows.schema[0].dataType.simpleString()
-    return rows.mapInArrow(cut, f"`{id_col}` {kind}, piece int, start long, length long, ids binary")
+    return rows.mapInArrow(released(cut), f"`{id_col}` {kind}, piece int, start long, length long, ids binary")
 
 
 def vector_best_fit(
