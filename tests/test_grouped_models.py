@@ -230,3 +230,37 @@ def test_lda_of_the_corpus_is_the_model_of_one_slice(spark):
     assert np.allclose(mine, theirs, atol=2e-6) and sum(sum(r["mixture"]) == 0 for r in shares) == 3
     with pytest.raises(ValueError):
         lda.lda_corpus(docs.where("text = ''"), s)
+
+
+def test_lda_documents_are_numbered_in_place_or_by_join(spark, monkeypatch):
+    s = lda.LdaSettings(n_topics=3, max_features=7, max_iter=3)
+    rows = [*themed(4), (JAN, 100, "cat cat dog"), (FEB, 101, None)]
+    df = spark.createDataFrame(rows, DOCS)
+
+    def results():
+        fit = lda.fit_timesliced(df, s)
+        found = sorted((str(r["slice"]), r["topic"], r["rank"], r["term"], round(r["score"], 6)) for r in fit.topics.collect())
+        return found, sorted((str(r["slice"]), r["doc_id"], [round(x, 5) for x in r["mixture"]]) for r in fit.mixtures.collect())
+
+    monkeypatch.setattr(lda, "_by_join", None)  # no row of a term is shuffled
+    in_place = results()
+    monkeypatch.undo()
+    monkeypatch.setattr(K, "BROADCAST_ROWS", 1)
+    assert results() == in_place and len(in_place[1]) == len(rows)
+
+
+def test_topic_counts_of_late_documents(monkeypatch):
+    rng = np.random.default_rng(2)
+    sizes = rng.integers(1, 40, 200)
+    rows = np.concatenate([rng.choice(60, n, replace=False) for n in sizes])
+    counts, beta = rng.integers(1, 5, len(rows)).astype(float), rng.random((60, 4)) ** 6
+    want = variational.infer(rows, counts, sizes, beta, 0.25)
+    for few, rounds in ((0, 100), (1000, 100)):
+        monkeypatch.setattr(variational, "FEW_LEFT", few)
+        assert all(np.allclose(a, b, rtol=1e-9) for a, b in zip(variational.infer(rows, counts, sizes, beta, 0.25), want))
+    starts = np.cumsum(sizes) - sizes
+    for i in (0, 17, 199):
+        own = slice(starts[i], starts[i] + sizes[i])
+        n = np.zeros(60)
+        n[rows[own]] = counts[own]
+        assert np.allclose(want[0][i], estep_by_hand(n, beta, 0.25)[0], rtol=1e-9)

@@ -9,7 +9,7 @@ from datetime import datetime
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from topictide.operators import keywords as K
@@ -33,15 +33,52 @@ class LdaSettings:
 MODEL_NUMBERS = 1 << 23
 
 
-def _numbered_documents(docs: DataFrame, s: LdaSettings, stopwords: Iterable[str] | None) -> tuple[DataFrame, DataFrame]:
-    """(slice, doc_id, terms array<struct<term_id, tf>>) of all documents and the numbered vocabularies (slice, term, term_id)."""
-    bag = materialise(K.bags(docs, stopwords).select("slice", "doc_id", "terms", F.monotonically_increasing_id().alias("row")), "bags")
-    vocab = materialise(K.numbered_vocabulary(bag, s.max_features).select("slice", "term", "term_id"), "vocabulary")
-    found = K.exploded(bag, "slice", "row").join(K.bounded(vocab, bag, s.max_features), ["slice", "term"])
-    terms = F.array_sort(F.collect_list(F.struct(F.col("term_id"), F.col("tf").cast("double").alias("tf"))))
-    rows = bag.select("slice", "doc_id", "row").join(found.groupBy("row").agg(terms.alias("terms")), "row", "left")
-    none = F.array().cast("array<struct<term_id:int,tf:double>>")
-    return materialise(rows.select("slice", "doc_id", F.coalesce("terms", none).alias("terms")), "lda-documents"), vocab
+def _by_join(bag: DataFrame, vocab: DataFrame, placed: DataFrame, s: LdaSettings) -> DataFrame:
+    """``_numbered`` for vocabularies too large to be known to every task."""
+    keyed = materialise(bag.join(F.broadcast(placed), "slice").withColumn("row", F.monotonically_increasing_id()), "placed-bags")
+    found = K.exploded(keyed, "slice", "row", "base").join(K.bounded(vocab, bag, s.max_features), ["slice", "term"])
+    entry = F.struct((F.col("term_id") + F.col("base")).alias("id"), F.col("tf").cast("double").alias("tf"))
+    terms = found.groupBy("row").agg(F.array_sort(F.collect_list(entry)).alias("t"))
+    rows, none = keyed.select("slice", "doc_id", "slice_no", "row").join(terms, "row", "left"), F.array()
+    return rows.select(
+        "slice", "doc_id", "slice_no",
+        F.coalesce(F.transform("t", lambda t: t["id"]), none.cast("array<int>")).alias("rows"),
+        F.coalesce(F.transform("t", lambda t: t["tf"]), none.cast("array<double>")).alias("counts"),
+    )
+
+
+def _words(vocab: DataFrame) -> dict[int, list[str]]:
+    """The words of every slice (in microseconds), in the order of their numbers."""
+    rows = vocab.select(F.unix_micros("slice").alias("at"), "term_id", "term").toPandas().sort_values(["at", "term_id"])
+    return {int(at): own["term"].tolist() for at, own in rows.groupby("at")}
+
+
+def _numbered(bag: DataFrame, known: dict[int, tuple[int, int, list[str]]], at: Column | None = None) -> DataFrame:
+    """(slice, doc_id, slice_no, rows, counts): the documents of ``bag``, numbered where they are. ``known`` has by slice (in microseconds)
+    its number, the row of its first word and its words; ``at`` is taken for the slice of all documents."""
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabularies = {at: pa.array(words, pa.string()) for at, (_, _, words) in known.items()}
+        for batch in batches:
+            ats = batch.column("at").to_numpy()
+            for at in np.unique(ats).tolist():
+                own = batch if len(known) == 1 else batch.filter(pa.array(ats == at))
+                slice_no, base, _ = known[at]
+                terms = own.column("terms")
+                sizes = pc.list_value_length(terms).fill_null(0).to_numpy()
+                flat = terms.flatten()
+                places = pc.index_in(pc.struct_field(flat, "term").cast(pa.string()), value_set=vocabularies[at])
+                found = pc.is_valid(places)
+                held = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[found.to_numpy(zero_copy_only=False)], minlength=len(sizes))
+                offsets = pa.array(np.r_[0, np.cumsum(held)].astype(np.int32))
+                rows = pa.ListArray.from_arrays(offsets, pc.add(places.filter(found), pa.scalar(base, pa.int32())))
+                counts = pa.ListArray.from_arrays(offsets, pc.struct_field(flat, "tf").filter(found).cast(pa.float64()))
+                numbers = pa.array(np.full(len(sizes), slice_no, np.int32))
+                yield pa.RecordBatch.from_arrays([own.column("slice"), own.column("doc_id"), numbers, rows, counts], names=["slice", "doc_id", "slice_no", "rows", "counts"])
+
+    kinds = ", ".join(f"{c} {bag.schema[c].dataType.simpleString()}" for c in ("slice", "doc_id"))
+    at = F.unix_micros("slice") if at is None else at
+    return bag.select("slice", "doc_id", "terms", at.alias("at")).mapInArrow(number, f"{kinds}, slice_no int, rows array<int>, counts array<double>")
 
 
 def _groups(sizes: dict[datetime, int], k: int) -> list[list[datetime]]:
@@ -78,19 +115,24 @@ def fit_timesliced(
     spark = docs.sparkSession
     s, k = settings, settings.n_topics
     prior = 1.0 / k
-    stored, vocab = _numbered_documents(docs, s, stopwords)
+    # read by the vocabularies and by the numbering
+    bag = materialise(K.bags(docs, stopwords).select("slice", "doc_id", "terms"), "bags")
+    vocab = materialise(K.numbered_vocabulary(bag, s.max_features).select("slice", "term", "term_id"), "vocabulary")
     # one row per slice: calendar bound
     sizes = {r["slice"]: r["n"] for r in vocab.groupBy("slice").agg(F.count("*").alias("n")).collect()}
     stamps = {r["slice"]: r["s"] for r in vocab.select("slice", F.unix_timestamp("slice").alias("s")).distinct().collect()}
+    words = _words(vocab) if sum(sizes.values()) <= K.BROADCAST_ROWS else None
+    micros = {r["slice"]: r["at"] for r in vocab.select("slice", F.unix_micros("slice").alias("at")).distinct().collect()}
     topics, shares, bounds, weights = [], [], [], []
     for group in _groups(sizes, k):
         numbers = {start: i for i, start in enumerate(group)}
         model = variational.start_model([sizes[g] for g in group], [stamps[g] for g in group], k, s.seed)
         placed = spark.createDataFrame([(g, i, int(model.bounds[i])) for g, i in numbers.items()], "slice timestamp, slice_no int, base int")
-        own = stored.join(F.broadcast(placed), "slice").select(
-            "slice", "doc_id", "slice_no",
-            F.transform("terms", lambda t: t["term_id"] + F.col("base")).alias("rows"), F.transform("terms", lambda t: t["tf"]).alias("counts"),
-        )
+        if words is None:
+            own = _by_join(bag, vocab, placed, s)
+        else:
+            known = {micros[g]: (i, int(model.bounds[i]), words[micros[g]]) for g, i in numbers.items()}
+            own = _numbered(bag.join(F.broadcast(placed.select("slice")), "slice"), known)
         own = materialise(own, "lda-rows")
         full = own.where(F.size("rows") > 0)
         for i in range(s.max_iter):
@@ -105,7 +147,7 @@ def fit_timesliced(
         shares.append(materialise(variational.mixtures(own, model, prior, ["slice", "doc_id"]), "mixtures"))
     ranked = spark.createDataFrame(topics, "slice timestamp, topic int, rank int, term_id int, score double")
     ranked = ranked.join(K.bounded(vocab, vocab, s.max_features), ["slice", "term_id"]).select("slice", "topic", "rank", "term", "score")
-    mixed = stored.select("slice", "doc_id", F.lit(None).cast("array<double>").alias("mixture")).limit(0)
+    mixed = bag.select("slice", "doc_id", F.lit(None).cast("array<double>").alias("mixture")).limit(0)
     for part in shares:
         mixed = mixed.unionByName(part)
     named = spark.createDataFrame(weights, "slice timestamp, term_id int, weights array<double>").join(vocab, ["slice", "term_id"])
@@ -121,28 +163,6 @@ def lda_timesliced(
     return fit.topics, fit.mixtures
 
 
-def _numbered_by(bag: DataFrame, words: list[str]) -> DataFrame:
-    """(slice, doc_id, slice_no, rows, counts): the documents of ``bag`` over the sorted ``words`` as one vocabulary."""
-    vocabulary = pa.array(words, pa.string())
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            terms = batch.column("terms")
-            sizes = pc.list_value_length(terms).fill_null(0).to_numpy()
-            flat = terms.flatten()
-            at = pc.index_in(pc.struct_field(flat, "term").cast(pa.string()), value_set=vocabulary)
-            known = pc.is_valid(at)
-            held = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[known.to_numpy(zero_copy_only=False)], minlength=len(sizes))
-            offsets = pa.array(np.r_[0, np.cumsum(held)].astype(np.int32))
-            rows = pa.ListArray.from_arrays(offsets, at.filter(known))
-            counts = pa.ListArray.from_arrays(offsets, pc.struct_field(flat, "tf").filter(known).cast(pa.float64()))
-            none = pa.array(np.zeros(len(sizes), np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column("slice"), batch.column("doc_id"), none, rows, counts], names=["slice", "doc_id", "slice_no", "rows", "counts"])
-
-    kinds = ", ".join(f"{c} {bag.schema[c].dataType.simpleString()}" for c in ("slice", "doc_id"))
-    return bag.select("slice", "doc_id", "terms").mapInArrow(number, f"{kinds}, slice_no int, rows array<int>, counts array<double>")
-
-
 def lda_corpus(
     docs: DataFrame, settings: LdaSettings = LdaSettings(), stopwords: Iterable[str] | DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
@@ -157,7 +177,7 @@ def lda_corpus(
     words = sorted(r["term"] for r in K.vocabulary(K.corpus_wide(bag), s.max_features).select("term").collect())
     if not words:
         raise ValueError("the corpus holds no token")
-    own = materialise(_numbered_by(bag, words), "lda-rows")
+    own = materialise(_numbered(bag, {0: (0, 0, words)}, F.lit(0).cast("long")), "lda-rows")
     full = own.where(F.size("rows") > 0)
     model = variational.start_model([len(words)], [0], k, s.seed)
     for _ in range(s.max_iter):

@@ -17,17 +17,23 @@ from pyspark.sql import functions as F
 
 DOCUMENT_ROUNDS = 100
 TOLERANCE = 1e-3  # mean change of a document's topic counts at which its rounds end
-BATCH_ENTRIES = 1 << 16  # terms of documents handled at once
+BATCH_ENTRIES = 1 << 18  # terms of documents handled at once
+FEW_LEFT = 64  # documents of a block that go on with those left of the other blocks
+LATE_BLOCKS = 2  # blocks that these make up
 
 
 def digamma(x: np.ndarray) -> np.ndarray:
     x = np.asarray(x, np.float64)
-    out = np.zeros_like(x)
-    for i in range(10):
-        out -= 1 / (x + i)
+    # 1 / x + ... + 1 / (x + 9), the first and the last, the second and the last but one, ... together
+    ends, product, part = 2 * x + 9, x * (x + 9), np.empty_like(x)
     z = x + 10
     y = 1 / (z * z)
-    return out + np.log(z) - 0.5 / z - y * (1 / 12 - y * (1 / 120 - y * (1 / 252 - y * (1 / 240 - y / 132))))
+    out = np.log(z) - 0.5 / z - y * (1 / 12 - y * (1 / 120 - y * (1 / 252 - y * (1 / 240 - y / 132))))
+    for i in range(5):
+        np.add(product, i * (9 - i), out=part)
+        np.divide(ends, part, out=part)
+        out -= part
+    return out
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -43,7 +49,34 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
 
 def expected_log(weights: np.ndarray) -> np.ndarray:
     """Expected logarithms of Dirichlet shares, row by row."""
-    return digamma(weights) - digamma(weights.sum(axis=1))[:, None]
+    both = digamma(np.concatenate([weights, weights.sum(axis=1)[:, None]], axis=1))
+    return both[:, :-1] - both[:, -1:]
+
+
+def _rounds(
+    docs: np.ndarray, few: int, gamma: np.ndarray, done: np.ndarray, sizes: np.ndarray, starts: np.ndarray, own: np.ndarray, counts: np.ndarray, alpha: float
+) -> np.ndarray:
+    """Topic counts ``gamma`` of ``docs``, round by round, and in ``done`` how many rounds these took; a document ends by itself. As soon as no more than
+    ``few`` documents are open they are given back."""
+    w = int(sizes[docs].max())
+    inside = np.arange(w)[None] < sizes[docs][:, None]
+    at = np.where(inside, starts[docs][:, None] + np.arange(w)[None], 0)
+    b, c, g = own[at], np.where(inside, counts[at], 0.0), gamma[docs]
+    live = done[docs] < DOCUMENT_ROUNDS
+    while live.sum() > few:
+        theta = np.exp(expected_log(g))
+        norm = np.matmul(b, theta[:, :, None])[:, :, 0] + 1e-100
+        new = alpha + theta * np.matmul((c / norm)[:, None, :], b)[:, 0]
+        change = np.abs(new - g).sum(axis=1)
+        g[live] = new[live]
+        done[docs[live]] += 1
+        live &= (change >= TOLERANCE * g.shape[1]) & (done[docs] < DOCUMENT_ROUNDS)
+        if 4 * live.sum() < 3 * len(live):  # finished documents stay as they are until they go
+            gamma[docs[~live]] = g[~live]
+            docs, b, c, g = docs[live], b[live], c[live], g[live]
+            live = np.ones(len(docs), bool)
+    gamma[docs] = g
+    return docs[live]
 
 
 def infer(rows: np.ndarray, counts: np.ndarray, sizes: np.ndarray, beta: np.ndarray, alpha: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -56,27 +89,16 @@ def infer(rows: np.ndarray, counts: np.ndarray, sizes: np.ndarray, beta: np.ndar
     owner = np.repeat(np.arange(n), sizes)
     gamma = np.ones((n, k))
     starts = np.cumsum(sizes) - sizes
-    # documents of like length share a block, filled up with entries of count 0
+    # documents of like length share a block, filled up with entries of count 0; when few of them are left, all of these go on together
     width = 1 << np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64)
-    for w in np.unique(width):
-        docs = np.flatnonzero(width == w)
-        inside = np.arange(w)[None] < sizes[docs][:, None]
-        at = np.where(inside, starts[docs][:, None] + np.arange(w)[None], 0)
-        b, c = own[at], np.where(inside, counts[at], 0.0)
-        g, open_, live = np.ones((len(docs), k)), np.arange(len(docs)), np.ones(len(docs), bool)
-        for _ in range(DOCUMENT_ROUNDS):
-            theta = np.exp(expected_log(g[open_]))
-            norm = np.matmul(b, theta[:, :, None])[:, :, 0] + 1e-100
-            new = alpha + theta * np.matmul((c / norm)[:, None, :], b)[:, 0]
-            change = np.abs(new - g[open_]).mean(axis=1)
-            g[open_[live]] = new[live]
-            live &= change >= TOLERANCE
-            if not live.any():
-                break
-            if 4 * live.sum() < 3 * len(live):  # finished documents stay as they are until they go
-                open_, b, c = open_[live], b[live], c[live]
-                live = np.ones(len(open_), bool)
-        gamma[docs] = g
+    rounds, late = np.zeros(n, np.int64), []
+    for docs in [np.flatnonzero(width == w) for w in np.unique(width)]:
+        late.append(_rounds(docs, FEW_LEFT, gamma, rounds, sizes, starts, own, counts, alpha))
+    left = np.concatenate(late) if late else np.empty(0, np.int64)
+    if len(left):
+        left = left[np.argsort(sizes[left], kind="stable")]
+        for docs in np.array_split(left, min(LATE_BLOCKS, len(left))):
+            _rounds(docs, 0, gamma, rounds, sizes, starts, own, counts, alpha)
     log_theta = expected_log(gamma)
     theta = np.exp(log_theta)
     shares = theta[owner] * own
@@ -87,9 +109,23 @@ def infer(rows: np.ndarray, counts: np.ndarray, sizes: np.ndarray, beta: np.ndar
     return gamma, shares * (counts / norm)[:, None], bound
 
 
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Small batches put together: rounds of many documents cost little more than those of few."""
+    held: list[pa.RecordBatch] = []
+    entries = 0
+    for batch in batches:
+        held.append(batch)
+        entries += len(batch.column("rows").flatten())
+        if entries >= BATCH_ENTRIES:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, entries = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
     """Runs of documents with a bounded number of entries: (rows of the batch, model rows, counts, sizes)."""
-    for batch in batches:
+    for batch in _joined(batches):
         sizes = np.diff(batch.column("rows").offsets.to_numpy())
         ends = np.cumsum(sizes)
         at = 0
